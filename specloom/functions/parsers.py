@@ -1,0 +1,187 @@
+"""Parsers of free-text specification values; null, empty and unmatched texts give null."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from specloom.functions.mathx import py_round
+from specloom.functions.text import first_group, fold_ascii, normalize_heading, slugify
+
+# Texts that decide a market segment or an operating system.
+ENTERPRISE_GPU = ("quadro", "tesla", "a100", "h100", "h200", "b100", "b200", "instinct", "mi300", "mi325", "mi350", "data center", "datacenter", "professional", "radeon pro", "rtx 6000", "rtx 5000", "rtx 4500", "rtx 4000")
+SERVER_CPU = ("xeon", "epyc", "altra", "ampereone", "opteron")
+OS_NAMES = (("ipados", "iPadOS"), ("ios", "iOS"), ("android", "Android"), ("harmonyos", "HarmonyOS"), ("windows phone", "Windows Phone"), ("windows", "Windows"), ("hyperos", "HyperOS"), ("oxygenos", "OxygenOS"), ("oneui", "One UI"), ("one ui", "One UI"))
+_MONTH = "(January|February|March|April|May|June|July|August|September|October|November|December)"
+
+
+def _scaled(c: Column, pattern: str, factors: dict[str, Column | None]) -> Column:
+    number = first_group(c, pattern, 1).try_cast("double")
+    unit = F.lower(first_group(c, pattern, 2))
+    out = None
+    for u, f in factors.items():
+        out = F.when(unit == u, f(number)) if out is None else out.when(unit == u, f(number))
+    return out
+
+
+def frequency_ghz(c: Column) -> Column:
+    return _scaled(c, r"(?i)(\d+(?:\.\d+)?)\s*(MHz|GHz)\b", {"ghz": lambda x: x, "mhz": lambda x: py_round(x / 1000, 3)})
+
+
+def frequency_mhz(c: Column) -> Column:
+    return _scaled(c, r"(?i)(\d+(?:\.\d+)?)\s*(MHz|GHz)\b", {"ghz": lambda x: x * 1000, "mhz": lambda x: x}).cast("int")
+
+
+def cache_mb(c: Column) -> Column:
+    return _scaled(c, r"(?i)(\d+(?:\.\d+)?)\s*(MB|KB|GB)\b", {"mb": lambda x: x, "kb": lambda x: py_round(x / 1024, 4), "gb": lambda x: x * 1024})
+
+
+def memory_gb(c: Column) -> Column:
+    return _scaled(c, r"(?i)(\d+(?:\.\d+)?)\s*(GB|MB)\b", {"gb": lambda x: x, "mb": lambda x: py_round(x / 1024, 3)})
+
+
+def tdp_w(c: Column) -> Column:
+    return first_group(c, r"(?i)(\d{1,4})(?:\s*/\s*\d{1,4})?\s*W\b").cast("int")
+
+
+def first_int(c: Column) -> Column:
+    return first_group(c, r"(\d{1,5})").cast("int")
+
+
+def cores_threads(c: Column) -> Column:
+    """Struct (cores, threads); one number stands for both."""
+    n = F.regexp_extract_all(c, F.lit(r"(\d+)"), 1)
+    a, b = F.get(n, F.lit(0)).try_cast("int"), F.get(n, F.lit(1)).try_cast("int")
+    return F.struct(a.alias("cores"), F.coalesce(b, a).alias("threads"))
+
+
+def memory_bus_bit(c: Column) -> Column:
+    return first_group(c, r"(?i)(\d{2,4})\s*-?\s*bit\b").cast("int")
+
+
+def pcie_version(c: Column) -> Column:
+    return first_group(c, r"(?i)PCI[-\s]?[Ee]?\s*(?:Gen\s*)?(\d(?:\.\d)?)")
+
+
+def ram_gb(c: Column) -> Column:
+    """The largest amount of at least one GB."""
+    found = F.regexp_extract_all(c, F.lit(r"(?i)(\d{1,3}(?:\.\d+)?)\s*GB\b"), 1)
+    return F.array_max(F.filter(F.transform(found, lambda x: x.cast("double")), lambda x: x >= 1)).cast("int")
+
+
+def _within(c: Column, lo: int, hi: int) -> Column:
+    return F.when(c.between(lo, hi), c)
+
+
+def battery_mah(c: Column) -> Column:
+    return _within(first_group(F.regexp_replace(c, ",", ""), r"(?i)(\d{3,5})\s*m\s*A\s*h\b").cast("int"), 500, 12000)
+
+
+def weight_g(c: Column) -> Column:
+    return _within(first_group(F.regexp_replace(c, ",", ""), r"(\d{1,3}(?:\.\d+)?)\s*g\b").cast("double").cast("int"), 50, 500)
+
+
+def resolution(c: Column) -> Column:
+    """Struct (w, h) of "1920 x 1080"."""
+    p = r"(\d{2,5})\s*[x×]\s*(\d{2,5})"
+    return F.when(c.rlike(p), F.struct(first_group(c, p, 1).cast("int").alias("w"), first_group(c, p, 2).cast("int").alias("h")))
+
+
+def date(c: Column) -> Column:
+    """The first form that matches decides; an impossible day of it is null."""
+    t = F.trim(c)
+    long, short = rf"(?i)\b{_MONTH}\s+(\d{{1,2}}),?\s+(\d{{4}})\b", rf"(?i)\b(\d{{1,2}})\s+{_MONTH}\s+(\d{{4}})\b"
+    quarter, year = r"(?i)\bQ([1-4])\s*'?(\d{4}|\d{2})\b", r"\b(19\d{2}|20\d{2})\b"
+    g = lambda p, i: F.regexp_extract(t, p, i)
+    month = lambda m: F.initcap(F.lower(m))
+    qy = F.when(F.length(g(quarter, 2)) == 2, F.concat(F.lit("20"), g(quarter, 2))).otherwise(g(quarter, 2))
+    qm = F.lpad(((g(quarter, 1).try_cast("int") - 1) * 3 + 1).cast("string"), 2, "0")
+    return (
+        F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
+        .when(t.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.try_to_date(t, "yyyy/MM/dd"))
+        .when(t.rlike(long), F.try_to_date(F.concat_ws(" ", month(g(long, 1)), g(long, 2), g(long, 3)), "MMMM d yyyy"))
+        .when(t.rlike(short), F.try_to_date(F.concat_ws(" ", month(g(short, 2)), g(short, 1), g(short, 3)), "MMMM d yyyy"))
+        .when(t.rlike(quarter), F.try_to_date(F.concat_ws("-", qy, qm, F.lit("01")), "yyyy-MM-dd"))
+        .when(t.rlike(year), F.try_to_date(F.concat(g(year, 1), F.lit("-01-01")), "yyyy-MM-dd"))
+    )
+
+
+def gpu_segment(name: Column) -> Column:
+    return F.when(F.lower(name).rlike("|".join(ENTERPRISE_GPU)), "enterprise").when(name.isNotNull(), "consumer")
+
+
+def cpu_segment(name: Column) -> Column:
+    """Server families, Threadripper, then the letters after the model number."""
+    low = F.lower(name)
+    letters = F.coalesce(first_group(low, r"\b\d{3,5}([a-z]{1,3})\b"), F.lit(""))
+    return (
+        F.when(low.rlike("|".join(SERVER_CPU)), "server")
+        .when(low.contains("threadripper"), "hedt")
+        .when(letters.rlike("[huypm]") & ~letters.contains("k"), "laptop")
+        .when(letters.isin("x", "xe"), "hedt")
+        .when(name.isNotNull(), "desktop")
+    )
+
+
+def os_name(c: Column, brand: Column) -> Column:
+    low, version = F.lower(c), first_group(c, r"\b(\d{1,2}(?:\.\d+)?)\b")
+    chain = F.when(c.isNull() | (c == ""), F.lit(None).cast("string"))
+    for token, label in OS_NAMES:
+        chain = chain.when(low.contains(token), F.concat_ws(" ", F.lit(label), version))
+    return chain.when(brand == "apple", "iOS").when(brand != "", "Android")
+
+
+def cpu_key(name: Column) -> Column:
+    """A CPU's name without clock, graphics, core-count and edition words; letters and digits only."""
+    s = F.trim(name)
+    for p in (r"(?i)\s*@\s*[\d.]+\s*ghz", r"(?i)\s*(?:w/|with)\s+.*$", r"(?i)\b(processor|cpu)\b", r"(?i)\b(black edition|extreme edition|(?:dual|two|quad|four|six|eight|ten|twelve|sixteen|\d+)[- ]core)\b", r"\s*\([^)]*\)"):
+        s = F.regexp_replace(s, p, "")
+    return normalize_heading(s)
+
+
+def gpu_key(name: Column) -> Column:
+    """A GPU's name without maker, marketing and memory words; letters and digits only."""
+    s = F.regexp_replace(F.regexp_replace(name, r"\s*\([^)]*\)", ""), r"/.*$", "")
+    s = F.regexp_replace(s, r"(?i)\b\d+\s*gb\b", "")
+    return normalize_heading(F.regexp_replace(s, r"(?i)\b(nvidia|amd|ati|intel|geforce|radeon|graphics|gpu|series|edition)\b", " "))
+
+
+def soc_slug(c: Column) -> Column:
+    """A chip's slug from free text: no "for ..." tail, brackets, platform words or maker."""
+    s = F.regexp_replace(c, r"(?i)\s+for\s+.*$", "")
+    s = F.regexp_replace(s, r"\s*\([^)]*\)\s*$", "")
+    s = F.regexp_replace(s, r"(?i)\bmobile platform\b", "")
+    return slugify(F.regexp_replace(F.trim(s), r"(?i)^(qualcomm|mediatek|samsung|google|apple|huawei|hisilicon|unisoc)\s+", ""))
+
+
+def processor_of_system(c: Column) -> Column:
+    """The text in the last brackets, less a clock."""
+    groups = F.regexp_extract_all(c, F.lit(r"\(([^()]*)\)"), 1)
+    last = F.try_element_at(groups, F.lit(-1))
+    return F.nullif(F.trim(F.regexp_replace(last, r"(?i),\s*[\d.]+\s*[GM]Hz.*$", "")), F.lit(""))
+
+
+def probable_model_slug(slug: Column) -> Column:
+    return (F.length(slug) >= 4) & slug.rlike("[0-9]") & ~slug.rlike(r"^\d+-\d+$")
+
+
+def host_of(url: Column) -> Column:
+    """Lower-case host without user, port and www; '' where there is none."""
+    h = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)
+    return F.coalesce(F.regexp_replace(h, r"^www\.", ""), F.lit(""))
+
+
+def path_depth(url: Column) -> Column:
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    return F.size(F.filter(F.split(path, "/"), lambda p: p != ""))
+
+
+def liveness(original: Column, status: Column, final: Column) -> Column:
+    """Struct (alive, reason) of a checked address; a deep page sent to the root is dead."""
+    home = final.isNotNull() & (final != "") & (final != original) & (path_depth(original) >= 1) & (path_depth(final) == 0)
+    code = F.concat(F.lit("http-"), status.cast("string"))
+    pair = lambda alive, reason: F.struct(F.lit(alive).alias("alive"), reason.alias("reason"))
+    return F.when(status.isNull(), pair(False, F.lit("error"))).when(status >= 400, pair(False, code)).when(home, pair(False, F.lit("homepage-redirect"))).otherwise(pair(True, code))
+
+
+__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Column", "F", "fold_ascii")]

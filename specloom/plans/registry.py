@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from specloom.plans import training
+from specloom.plans import catalog, training
 
-QUERIES = {**training.QUERIES}
-ORACLE = {**training.ORACLE}
+QUERIES = {**catalog.QUERIES, **training.QUERIES}
+ORACLE = {**catalog.ORACLE, **training.ORACLE}
