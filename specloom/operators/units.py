@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.functions.text import first_group
+from specloom.session import cut
+
 
 #: Units of each dimension with their size in the dimension's smallest unit.
 CLOCK = {"hz": 1.0, "khz": 1e3, "mhz": 1e6, "ghz": 1e9}
@@ -46,108 +47,94 @@ _NUMBER = r"\d[\d.,' ]*"
 
 def clean(c: Column) -> Column:
     """Lower case, plain spaces, no footnotes, no words that say nothing about the value."""
-    t = F.regexp_replace(F.lower(c), r"[   \s]+", " ")
-    t = F.regexp_replace(t, r"\[[^\]]*\]", "")
-    t = F.regexp_replace(t, r"[’′`]", "'")
-    return F.trim(F.regexp_replace(t, r"\bl[123]\b:?|\bshared\b|~", " "))
+    t = F.regexp_replace(F.translate(F.lower(c), "\u00a0\u2009\u202f\t~’′`", "     '''"), r"\[[^\]]*\]|\bl[123]\b:?|\bshared\b", " ")
+    return F.trim(F.regexp_replace(t, " +", " "))
+
+
+def _group(c: Column, pattern: str, group: int = 1) -> Column:
+    """A regex group that is never empty where it matches; null elsewhere."""
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
 def base_part(c: Column) -> Column:
     """The part of a cleaned text that states the base value, when a boost is stated too."""
-    return F.coalesce(
-        first_group(c, r"(?:boost|turbo)\s*[,;]\s*(.+?)\s*base$"),
-        first_group(c, r"base:?\s*(.+?)\s*[,;]\s*(?:boost|turbo|max)"),
-        first_group(c, r"^(.+?)\s*\((?:up to|boost|turbo|max)"),
+    two = c.rlike("boost|turbo|up to|base|max")
+    found = F.coalesce(
+        _group(c, r"(?:boost|turbo)\s*[,;]\s*(.+?)\s*base$"),
+        _group(c, r"base:?\s*(.+?)\s*[,;]\s*(?:boost|turbo|max)"),
+        _group(c, r"^(.+?)\s*\((?:up to|boost|turbo|max)"),
         F.trim(F.regexp_replace(c, r"\(?\bbase\b\)?:?", " ")),
     )
+    return F.when(two, found).otherwise(c)
 
 
-def written_unit(c: Column) -> Column:
-    """The unit a part states, in one spelling; null where none is written."""
-    u = first_group(c, _UNIT)
-    letter = F.substring(u, 1, 1)
-    hertz = u.rlike("h(ert)?z$")
-    return F.when(hertz, F.when(letter == "h", "hz").otherwise(F.concat(letter, F.lit("hz")))).when(u.isNotNull(), F.when(letter == "b", "b").otherwise(F.concat(letter, F.lit("b"))))
-
-
-def readings(c: Column) -> Column:
-    """The numbers a part may mean, times the count of slices: with a comma two, else one.
+def parse_readings(df: DataFrame, text_col: str = "value_text") -> DataFrame:
+    """Adds ``_unit`` (in one spelling, null where none is written) and the readings ``_n1``, ``_n2``.
 
-    Groups of three digits after a comma are read as thousands and as decimals; which
-    holds is settled by the residuals. No number gives an empty array.
+    A number is times the count of slices. A comma before three digits parts thousands in
+    the first reading and decimals in the second; which holds is settled by the residuals.
+    Without a positive number both are null. Each step is a column, worked out once.
     """
-    slices = F.coalesce(first_group(c, r"(\d+)\s*[x×]\s*\d").cast("double"), F.lit(1.0))
-    body = F.regexp_replace(c, r"^.*?\d+\s*[x×]\s*(?=\d)", "")
-    digits = F.regexp_replace(first_group(body, f"({_NUMBER})"), r"[' ]", "")
-    digits = F.regexp_replace(digits, r"[.,]+$", "")
-    plain = F.when(~digits.contains(","), digits.try_cast("double"))
-    thousands = F.when(digits.rlike(r"^\d{1,3}(,\d{3})+(\.\d+)?$"), F.regexp_replace(digits, ",", "").try_cast("double"))
-    decimal = F.when(digits.rlike(r"^\d+,\d+$"), F.regexp_replace(digits, ",", ".").try_cast("double"))
-    found = F.array_compact(F.array(plain, thousands, decimal))
-    return F.coalesce(F.transform(found, lambda x: x * slices), F.array().cast("array<double>"))
-
-
-def _log(c: Column) -> Column:
-    return F.when(c > 0, F.ln(c))
+    c = F.col
+    letter = F.substring("_word", 1, 1)
+    unit = F.when(c("_word").rlike("h(ert)?z$"), F.when(letter == "h", "hz").otherwise(F.concat(letter, F.lit("hz")))).when(c("_word") != "", F.when(letter == "b", "b").otherwise(F.concat(letter, F.lit("b"))))
+    slices = F.coalesce(F.regexp_extract("_part", r"(\d+)\s*[x×]\s*\d", 1).try_cast("double"), F.lit(1.0))
+    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract("_body", f"({_NUMBER})", 1), r"[' ]", ""), r"[.,]+$", "")
+    comma = c("_digits").contains(",")
+    thousands = c("_digits").rlike(r"^\d{1,3}(,\d{3})+(\.\d+)?$")
+    n1 = F.when(~comma, c("_digits").try_cast("double")).when(thousands, F.regexp_replace("_digits", ",", "").try_cast("double"))
+    n2 = F.when(comma & c("_digits").rlike(r"^\d+,\d+$"), F.regexp_replace("_digits", ",", ".").try_cast("double"))
+    positive = lambda x: F.when(x > 0, x)
+    return (
+        df.withColumn("_clean", clean(c(text_col)))
+        .withColumn("_part", base_part(c("_clean")))
+        .withColumn("_word", F.regexp_extract("_part", _UNIT, 1))
+        .withColumn("_body", F.when(c("_part").rlike("[x×]"), F.regexp_replace("_part", r"^.*?\d+\s*[x×]\s*(?=\d)", "")).otherwise(c("_part")))
+        .withColumn("_digits", digits)
+        .withColumn("_slices", slices)
+        .withColumn("_unit", unit)
+        .withColumn("_n1", positive(n1 * c("_slices")))
+        .withColumn("_n2", positive(n2 * c("_slices")))
+        .drop("_clean", "_part", "_word", "_body", "_digits", "_slices")
+    )
 
 
-def solve(field: Field, numbers: Column, unit: Column, centre: Column, boost: Column | None = None) -> Column:
-    """The best combination as a struct (r, unit, value, unique); null without a positive number.
+def solve(df: DataFrame, units: dict[str, float]) -> DataFrame:
+    """Adds ``field_unit``, ``stated_unit``, ``value`` (in it) and ``unique_solution``.
 
-    ``value`` is in the field's unit. ``unit`` null leaves all units open.
+    For rows of fields of one dimension, with spec_field, _unit, _n1, _n2, boost and
+    _centre. Per unit the reading nearer to the centre counts; a boost clock, itself read in
+    the unit that suits the centre best, pulls the base towards its own size. All of it is
+    plain arithmetic. A row without a combination has null.
     """
-    def combination(u: str, size: float) -> Column:
-        def cost(x: Column) -> Column:
-            value = F.ln(x * F.lit(size))
-            r = F.abs(value - centre)
-            if boost is None:
-                return r
-            turbo = [F.ln(boost * F.lit(b)) - F.lit(BOOST_RATIO_LOG) for b in field.units.values()]
-            return F.when(boost > 0, r + F.least(*[F.abs(t - value) + F.abs(t - centre) for t in turbo])).otherwise(r)
-
-        def entry(x: Column) -> Column:
-            return F.struct(cost(x).alias("r"), F.lit(u).alias("unit"), (x * F.lit(size / field.units[field.unit])).alias("value"))
-
-        return F.when(unit.isNull() | (unit == u), F.transform(numbers, entry))
-
-    combos = [combination(u, size) for u, size in field.units.items()]
-    every = F.array_sort(F.flatten(F.array_compact(F.array(*combos))))
-    best, second = F.get(every, F.lit(0)), F.get(every, F.lit(1))
-    # Combinations that mean the same quantity do not compete.
-    rival = second.isNotNull() & (second["r"] - best["r"] < MARGIN) & (F.abs(F.ln(second["value"]) - F.ln(best["value"])) > 1e-6)
-    return F.when(best.isNotNull(), F.struct(best["unit"].alias("unit"), best["value"].alias("value"), (~F.coalesce(rival, F.lit(False))).alias("unique"), best["r"].alias("r")))
-
-
-def parse_readings(df: DataFrame, field_col: str = "spec_field", text_col: str = "value_text") -> DataFrame:
-    """Adds ``_unit`` (written, else null) and ``_numbers`` (positive readings) to rows of texts."""
-    part = base_part(clean(F.col(text_col)))
-    return df.withColumn("_part", part).withColumn("_unit", written_unit(F.col("_part"))).withColumn("_numbers", F.filter(readings(F.col("_part")), lambda x: x > 0)).drop("_part")
-
-
-def centres(parsed: DataFrame, field_col: str = "spec_field") -> DataFrame:
+    c, names = F.col, list(units)
+    fields = [f for f in FIELDS.values() if f.units is units]
+    own = lambda of: reduce(lambda acc, f: acc.when(c("spec_field") == f.name, F.lit(of(f))), fields[1:], F.when(c("spec_field") == fields[0].name, F.lit(of(fields[0]))))
+    log = {u: math.log(size) for u, size in units.items()}
+    df = df.withColumns({"field_unit": own(lambda f: f.unit), "_own": own(lambda f: f.units[f.unit]), "_mid": F.coalesce("_centre", own(lambda f: math.log(f.centre))), "_l1": F.ln("_n1"), "_l2": F.ln("_n2"), "_lb": F.when(c("boost") > 0, F.ln("boost") - BOOST_RATIO_LOG - F.coalesce("_centre", own(lambda f: math.log(f.centre))))})
+    off = F.reduce(F.array(*[c("_lb") + x for x in log.values()]), F.lit(None).cast("double"), lambda acc, x: F.when(acc.isNull() | (F.abs(x) < F.abs(acc)), x).otherwise(acc))
+    df = df.withColumns({"_d1": c("_l1") - c("_mid"), "_d2": c("_l2") - c("_mid"), "_turbo": off}) if units is CLOCK else df.withColumns({"_d1": c("_l1") - c("_mid"), "_d2": c("_l2") - c("_mid"), "_turbo": F.lit(None).cast("double")})
+    near = {u: F.least(F.abs(c("_d1") + x), F.abs(c("_d2") + x)) + F.coalesce(F.abs(c("_d1") + x - c("_turbo")), F.lit(0.0)) for u, x in log.items()}
+    df = df.withColumns({f"_c_{u}": F.when(c("_unit").isNull() | (c("_unit") == u), near[u]) for u in names})
+    df = df.withColumn("_best", F.least(*[c(f"_c_{u}") for u in names]))
+    which = lambda of: reduce(lambda acc, u: acc.when(c(f"_c_{u}") == c("_best"), F.lit(of(u))), names[1:], F.when(c(f"_c_{names[0]}") == c("_best"), F.lit(of(names[0]))))
+    df = df.withColumns({"stated_unit": which(lambda u: u), "_size": which(lambda u: units[u]), "_log": which(lambda u: log[u])})
+    second = F.coalesce(F.abs(c("_d2") + c("_log")) < F.abs(c("_d1") + c("_log")), c("_d1").isNull())
+    rivals = F.least(*[F.when(c("stated_unit") != u, c(f"_c_{u}")) for u in names])
+    unlike = F.abs(F.abs(c("_d1") + c("_log")) - F.abs(c("_d2") + c("_log")))
+    return df.withColumns({"value": F.when(second, c("_n2")).otherwise(c("_n1")) * c("_size") / c("_own"), "unique_solution": F.coalesce(rivals - c("_best") >= MARGIN, F.lit(True)) & F.coalesce(unlike >= MARGIN, F.lit(True))})
+
+
+def centres(parsed: DataFrame) -> DataFrame:
     """Per field the median log quantity over values whose unit is written and whose number is plain."""
-    size = F.element_at(F.create_map(*[x for u, s in {**CLOCK, **CACHE}.items() for x in (F.lit(u), F.lit(s))]), F.col("_unit"))
+    size = reduce(lambda acc, u: acc.when(F.col("_unit") == u[0], F.lit(math.log(u[1]))), [*CLOCK.items(), *CACHE.items()][1:], F.when(F.col("_unit") == "hz", F.lit(0.0)))
     return (
-        parsed.where("_unit is not null and size(_numbers) = 1")
-        .groupBy(F.col(field_col).alias("_field"))
-        .agg(F.percentile_approx(F.ln(F.get("_numbers", F.lit(0)) * size), 0.5, 1000).alias("_centre"))
+        parsed.where("_unit is not null and _n1 is not null and _n2 is null")
+        .groupBy(F.col("spec_field").alias("_field"))
+        .agg(F.percentile_approx(F.ln("_n1") + size, 0.5, 1000).alias("_centre"))
     )
 
 
-def _centre(field: Field) -> Column:
-    return F.coalesce(F.col("_centre"), F.lit(math.log(field.centre)))
-
-
-def _solved(df: DataFrame, field_col: str, boost_col: str | None = None) -> DataFrame:
-    cases = []
-    for f in FIELDS.values():
-        boost = F.col(boost_col) if boost_col and f.units is CLOCK else None
-        cases.append((F.col(field_col) == f.name, solve(f, F.col("_numbers"), F.col("_unit"), _centre(f), boost), f.unit))
-    chosen = reduce(lambda acc, c: acc.when(c[0], c[1]), cases[1:], F.when(cases[0][0], cases[0][1]))
-    own = reduce(lambda acc, c: acc.when(c[0], c[2]), cases[1:], F.when(cases[0][0], F.lit(cases[0][2])))
-    return df.withColumn("_s", chosen).withColumn("field_unit", own)
-
-
 def standardise(sources: list[tuple[str, DataFrame]], spec: DataFrame) -> DataFrame:
     """All values in the unit of their field's name.
 
@@ -156,18 +143,24 @@ def standardise(sources: list[tuple[str, DataFrame]], spec: DataFrame) -> DataFr
     src_table, row_id, spec_field, stated_unit, field_unit, value, unique_solution. Nulls,
     fillers, zero and negative numbers and unknown fields have no value and give no row.
     """
-    texts = parse_readings(spec.select(F.lit("spec_readings").alias("src_table"), F.col("reading_id").cast("bigint").alias("row_id"), "spec_field", "value_text")).drop("value_text").withColumn("boost", F.lit(None).cast("double"))
+    none = F.lit(None).cast("double")
+    # A written table: filters on what was parsed would else be pushed below and parse again.
+    texts = cut(parse_readings(spec.select(F.lit("spec_readings").alias("src_table"), F.col("reading_id").cast("bigint").alias("row_id"), "spec_field", "value_text")).drop("value_text").withColumn("boost", none), "units-parsed")
     middle = centres(texts)
-    rows = texts
+    rows = texts.where(F.col("_n1").isNotNull() | F.col("_n2").isNotNull())
     for name, df in sources:
         for f in FIELDS.values():
             if f.name in df.columns:
-                boost = F.col("boost").cast("double") if "boost" in df.columns else F.lit(None).cast("double")
                 rows = rows.unionByName(
                     df.where(F.col(f.name) > 0).select(
-                        F.lit(name).alias("src_table"), F.col("id").cast("bigint").alias("row_id"), F.lit(f.name).alias("spec_field"), F.lit(None).cast("string").alias("_unit"), F.array(F.col(f.name).cast("double")).alias("_numbers"), boost.alias("boost")
-                    )
+                        F.lit(name).alias("src_table"), F.col("id").cast("bigint").alias("row_id"), F.lit(f.name).alias("spec_field"), F.lit(None).cast("string").alias("_unit"),
+                        F.col(f.name).cast("double").alias("_n1"), none.alias("_n2"), (F.col("boost").cast("double") if "boost" in df.columns else none).alias("boost"),
+                    )
                 )
-    joined = rows.where("size(_numbers) > 0").join(middle, F.col("spec_field") == F.col("_field"), "left")
-    solved = _solved(joined, "spec_field", "boost").where("_s is not null")
-    return solved.select("src_table", "row_id", "spec_field", F.col("_s.unit").alias("stated_unit"), "field_unit", F.col("_s.value").alias("value"), F.col("_s.unique").alias("unique_solution"))
+    joined = rows.join(middle, F.col("spec_field") == F.col("_field"), "left")
+    out = None
+    for units in (CLOCK, CACHE):
+        known = F.col("spec_field").isin(*[f.name for f in FIELDS.values() if f.units is units]) & (F.col("_unit").isNull() | F.col("_unit").isin(*units))
+        one = solve(joined.where(known), units).select("src_table", "row_id", "spec_field", "stated_unit", "field_unit", "value", "unique_solution")
+        out = one if out is None else out.unionByName(one)
+    return out
