@@ -1,0 +1,132 @@
+"""Tables in HTML pages as table functions (standard library parser only)."""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+from pyspark.sql import SparkSession
+from pyspark.sql.functions import udtf
+
+MAX_COLUMNS = 64
+
+
+class _Tables(HTMLParser):
+    """Collects tables of cells (text, rowspan, colspan, is header) with the heading before them."""
+
+    def __init__(self, css: str, drop_sup: bool = False) -> None:
+        super().__init__(convert_charrefs=True)
+        self.css, self.drop_sup = css, drop_sup
+        self.tables: list[tuple[str, list[list[tuple[str, int, int, bool]]]]] = []
+        self.open: list[list | None] = []  # None: a table of another class
+        self.heading, self.in_heading, self.cell, self.row, self.skip = "", None, None, None, 0
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "table":
+            wanted = not self.css or self.css in (a.get("class") or "").split()
+            self.open.append([] if wanted else None)
+            if wanted:
+                self.tables.append((" ".join(self.heading.split()), self.open[-1]))
+        elif tag in ("h2", "h3", "h4"):
+            self.heading, self.in_heading = "", tag
+        elif tag in ("script", "style") or (tag == "sup" and self.drop_sup):
+            self.skip += 1
+        elif self.open and self.open[-1] is not None:
+            if tag == "tr":
+                self.row = []
+                self.open[-1].append(self.row)
+            elif tag in ("td", "th") and self.row is not None:
+                self.cell = ([], self._span(a.get("rowspan")), self._span(a.get("colspan")), tag == "th")
+                self.row.append(self.cell)
+
+    @staticmethod
+    def _span(value: str | None) -> int:
+        m = re.match(r"\s*(\d+)", value or "")
+        return max(1, min(int(m[1]), MAX_COLUMNS)) if m else 1
+
+    def handle_endtag(self, tag):
+        if tag == "table" and self.open:
+            self.open.pop()
+            self.cell = self.row = None
+        elif tag in ("td", "th"):
+            self.cell = None
+        elif tag == "tr":
+            self.row = self.cell = None
+        elif tag == self.in_heading:
+            self.in_heading = None
+        elif tag in ("script", "style") or (tag == "sup" and self.drop_sup):
+            self.skip = max(0, self.skip - 1)
+
+    def handle_data(self, data):
+        if self.skip:
+            return
+        if self.in_heading:
+            self.heading += data
+        elif self.cell is not None and data.strip():
+            self.cell[0].append(data.strip())
+
+
+def grids(html: str | None, css: str = "wikitable", drop_sup: bool = False):
+    """(heading, rows) of each table; spans are filled in, rows are lists of (text, is header)."""
+    p = _Tables(css, drop_sup)
+    p.feed(html or "")
+    for heading, rows in p.tables:
+        grid, below = [], {}
+        for row in rows:
+            line, cells = [], iter(row)
+            cell = next(cells, None)
+            while (cell is not None or len(line) in below) and len(line) < MAX_COLUMNS:
+                col = len(line)
+                if col in below:
+                    value, left = below.pop(col)
+                    line.append(value)
+                    if left > 1:
+                        below[col] = (value, left - 1)
+                    continue
+                value = (" ".join(" ".join(cell[0]).split()), cell[3])
+                for k in range(min(cell[2], MAX_COLUMNS - col)):
+                    line.append(value)
+                    if cell[1] > 1:
+                        below[col + k] = (value, cell[1] - 1)
+                cell = next(cells, None)
+            grid.append(line)
+        yield heading, grid
+
+
+@udtf(returnType="table_no int, heading string, row_no int, cells map<string,string>")
+class HtmlRows:
+    """Rows of all wikitables keyed by their header; blank rows and rows before a header go."""
+
+    def eval(self, html: str):
+        for t, (heading, grid) in enumerate(grids(html)):
+            header = None
+            for r, line in enumerate(grid):
+                if header is None:
+                    if sum(h for _, h in line) * 2 >= max(len(line), 1) and line:
+                        header = [text for text, _ in line]
+                    continue
+                cells = {}
+                for name, (text, _) in zip(header, line):
+                    cells.setdefault(name, text)
+                if any(cells.values()):
+                    yield t, heading, r, cells
+
+
+@udtf(returnType="table_no int, row_no int, text string")
+class HtmlFirstCells:
+    """First cell of every wikitable row that is no header, without superscripts and footnotes."""
+
+    def eval(self, html: str):
+        for t, (_, grid) in enumerate(grids(html, drop_sup=True)):
+            for r, line in enumerate(grid):
+                if line and not all(h for _, h in line):
+                    text = re.sub(r"\[[^\]]*\]", "", line[0][0]).strip()
+                    if text:
+                        yield t, r, text
+
+
+def register(spark: SparkSession) -> None:
+    """Makes html_rows and html_first_cells known to SQL (use with LATERAL)."""
+    spark.udtf.register("html_rows", HtmlRows)
+    spark.udtf.register("html_first_cells", HtmlFirstCells)
