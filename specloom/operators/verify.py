@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from specloom.functions.parsers import host_of
+from specloom.functions.mathx import py_round
+from specloom.functions.parsers import host_of, resolution
 from specloom.functions.text import normalize_heading
 
 # Hosts by tier of trust.
@@ -15,6 +16,9 @@ TIER_HOSTS = {
     3: ("kaggle.com", "github.com", "raw.githubusercontent.com", "commons.wikimedia.org", "jsdelivr.net", "cdn.jsdelivr.net", "aitoolbuzz.com"),
 }
 
+# The first year of a major version of Android.
+ANDROID_YEARS = {4: 2011, 5: 2014, 6: 2015, 7: 2016, 8: 2017, 9: 2018, 10: 2019, 11: 2020, 12: 2021, 13: 2022, 14: 2023, 15: 2024, 16: 2025}
+
 
 def host_tier(host: Column) -> Column:
     """The tier of a host or of the host it is below; 0 for others."""
@@ -42,6 +46,42 @@ def host_score(urls: Column) -> Column:
     return F.least(base + F.when(strong_hosts(urls) >= 2, 4.0).otherwise(0.0), F.lit(30.0))
 
 
+def phone_signals(now_year: int) -> list[tuple[Column, bool]]:
+    """(signal, hard) of phones with their chip's release date ``soc_date``: true, false, or null where not applicable."""
+    c, year = F.col, F.year("release_date")
+    r, size, ppi, storage = resolution(c("display.resolution")), c("display.size_inch"), c("display.ppi"), c("storage_options_gb")
+    dense = F.sqrt(r["w"].cast("double") ** 2 + r["h"].cast("double") ** 2) / F.nullif(size, F.lit(0.0))
+    sane = ~F.exists(storage, lambda x: x.isNull()) & (F.array_min(storage) >= 1) & (storage == F.array_sort(F.array_distinct(storage)))
+    major = F.regexp_extract(F.lower("os"), r"android\s*(\d{1,2})", 1)
+    least = F.lit(None).cast("int")
+    for version, first in ANDROID_YEARS.items():
+        least = F.when(major.isin(str(version), f"0{version}"), first).otherwise(least)
+    slack = F.when(F.date_format("soc_date", "MM-dd") == "01-01", 2).otherwise(0)
+    return [
+        (F.when(size > 0, F.abs(dense - ppi) <= 0.15 * ppi), False),
+        (F.when(F.size(storage) > 0, F.coalesce(sane, F.lit(False))), False),
+        (year >= least, False),
+        (year <= now_year + 1, True),
+        (c("ram_gb") <= F.array_max(storage), False),
+        (F.year("soc_date") <= year + slack, False),
+    ]
+
+
+def tier0(rich: list[Column], signals: list[tuple[Column, bool]], urls: Column) -> Column:
+    """Struct (band, total, best_tier) of the offline plausibility score.
+
+    Rich fields present give up to 25 points, passed signals among those that apply up to 35
+    (all where none applies), hosts up to 30, records without raw parts 7. A failed hard
+    signal is red whatever the score; green takes 75 points and a source of tier 1 or 2.
+    """
+    count = lambda flags: sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0))
+    asked, passed, failed = count(s.isNotNull() for s, _ in signals), count(s for s, _ in signals), count(~s for s, hard in signals if hard)
+    best = best_tier(urls)
+    total = 25.0 * count(rich) / float(len(rich)) + F.when(asked == 0, 35.0).otherwise(35.0 * passed / F.greatest(asked, F.lit(1))) + host_score(urls) + 7.0
+    band = F.when(failed > 0, "red").when((total >= 75) & best.isin(1, 2), "green").when(total < 45, "red").otherwise("yellow")
+    return F.struct(band.alias("band"), py_round(total).alias("total"), best.alias("best_tier"))
+
+
 def fresh(checked: Column, now: Column, days: int) -> Column:
     """Whether fewer than ``days`` whole days have gone by; false without a time."""
     return F.coalesce(F.floor((F.unix_timestamp(now) - F.unix_timestamp(checked)) / 86400) < days, F.lit(False))

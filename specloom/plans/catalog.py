@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from specloom.functions import mathx, parsers, text
 from specloom.functions.mathx import ERA_BANDS, PHONE_SCALES, SOC_SCALES, TIERS, Scale, capability, combine, era_band, py_round
-from specloom.operators import records, scoring
+from specloom.operators import records, scoring, verify
 from specloom.sources.tables import counting_rows, table
 
 QUERIES: dict = {}
@@ -344,6 +344,75 @@ def q16_tier0_band(spark, d):
     return rows.withColumn("t", total).select("id", F.when(hard, "red").when(c("t") >= 75, "green").when(c("t") < 45, "red").otherwise("yellow").alias("band"), py_round(c("t")).alias("total"))
 
 
+_NOW_YEAR = 2026
+_NO_URLS = "NULL::VARCHAR[]"
+
+
+def _tier0_sql(category: str, source: str, rich: list[str], signals: list[tuple[str, bool]], urls: str = _NO_URLS) -> str:
+    """As verify.tier0, over a source with id; ``rich`` and ``signals`` are conditions."""
+    host = "regexp_replace(regexp_extract(lower(u), '^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)', 1), '^www\\.', '')"
+    known = " ".join("WHEN regexp_matches(h, '(^|\\.)(" + "|".join(x.replace(".", "\\.") for x in hosts) + f")$') THEN {t}" for t, hosts in verify.TIER_HOSTS.items())
+    tiers = f"list_transform(list_distinct(list_transform({urls}, lambda u: {host})), lambda h: CASE {known} ELSE 0 END)"
+    count = lambda flags: " + ".join(f"coalesce({f}, false)::INT" for f in flags)
+    cells = f"SELECT id, {count(rich)} AS rich, {count(f'({s}) IS NOT NULL' for s, _ in signals)} AS asked, {count(s for s, _ in signals)} AS passed, {count(f'NOT ({s})' for s, hard in signals if hard) or '0'} AS hard, {tiers} AS tiers FROM ({source})"
+    best = f"SELECT *, coalesce(list_min(list_filter(tiers, lambda t: t > 0)), 0) AS best_tier, coalesce(len(list_filter(tiers, lambda t: t IN (1, 2))), 0) AS strong FROM ({cells})"
+    trust = "least(CASE best_tier WHEN 1 THEN 26.0::DOUBLE WHEN 2 THEN 18.0::DOUBLE WHEN 3 THEN 6.0::DOUBLE ELSE 3.0::DOUBLE END + CASE WHEN strong >= 2 THEN 4.0::DOUBLE ELSE 0.0::DOUBLE END, 30.0::DOUBLE)"
+    total = f"SELECT *, 25.0::DOUBLE * rich / {float(len(rich))}::DOUBLE + CASE WHEN asked = 0 THEN 35.0::DOUBLE ELSE 35.0::DOUBLE * passed / asked::DOUBLE END + {trust} + 7.0::DOUBLE AS total FROM ({best})"
+    band = "CASE WHEN hard > 0 THEN 'red' WHEN total >= 75 AND best_tier IN (1, 2) THEN 'green' WHEN total < 45 THEN 'red' ELSE 'yellow' END"
+    return f"SELECT '{category}' AS category, id, {band} AS band, {rnd('total')} AS total, best_tier FROM ({total})"
+
+
+def _q16_sql() -> str:
+    text, has = lambda x: f"({x} IS NOT NULL AND {x} <> '')", lambda x: f"({x} IS NOT NULL)"
+    dated = f"year(release_date) <= {_NOW_YEAR + 1}"
+    shape = "'(\\d{2,5})\\s*[x×]\\s*(\\d{2,5})'"
+    w, h = (f"try_cast(nullif(regexp_extract(display.resolution, {shape}, {g}), '') AS DOUBLE)" for g in (1, 2))
+    major = "try_cast(nullif(regexp_extract(lower(os), 'android\\s*(\\d{1,2})', 1), '') AS INT)"
+    android = f"CASE {major} " + " ".join(f"WHEN {v} THEN {y}" for v, y in verify.ANDROID_YEARS.items()) + " END"
+    s = "storage_options_gb"
+    phone = [
+        (f"CASE WHEN display.size_inch > 0 THEN abs(sqrt({w} * {w} + {h} * {h}) / display.size_inch - display.ppi) <= 0.15::DOUBLE * display.ppi END", False),
+        (f"CASE WHEN len({s}) > 0 THEN coalesce(list_min({s}) >= 1 AND {s} = list_sort(list_distinct({s})), false) END", False),
+        (f"year(release_date) >= {android}", False),
+        (dated, True),
+        (f"ram_gb <= list_max({s})", False),
+        ("year(soc_date) <= year(release_date) + CASE WHEN strftime(soc_date, '%m-%d') = '01-01' THEN 2 ELSE 0 END", False),
+    ]
+    # Fields that the tables lack count as absent.
+    parts = [
+        _tier0_sql("cpu", f"SELECT * FROM {latest('cpus')}", [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), "false"], [("threads >= cores", True), ("boost_clock_ghz >= base_clock_ghz", True), (dated, True)]),
+        _tier0_sql("gpu", f"SELECT * FROM {latest('gpus')}", [text("architecture"), has("boost_clock_mhz"), text("memory_type"), *["false"] * 4], [("boost_clock_mhz >= base_clock_mhz", True), (dated, True)]),
+        _tier0_sql("soc", f"SELECT * FROM {latest('socs')}", [text("cpu_config"), has("geekbench_multi"), *["false"] * 4], [(dated, True), ("NOT ((process_nm < 7 AND year(release_date) < 2017) OR (process_nm < 3 AND year(release_date) < 2022))", False), ("coalesce(trim(gpu_name) <> '', false)", False)]),
+        _tier0_sql("smartphone", f"SELECT p.*, s.release_date AS soc_date FROM {latest('smartphones')} p LEFT JOIN {latest('socs')} s ON p.soc_id = s.id", [has("soc_id"), has("display.size_inch"), text("display.resolution"), has("display.ppi"), "(len(cameras) > 0)", f"(len({s}) > 0)", has("charging_wired_w"), "false"], phone, "source_urls"),
+        _tier0_sql("brand", f"SELECT * FROM {latest('brands')}", [has("founded_year"), "false"], [(f"founded_year <= {_NOW_YEAR}", False)], "source_urls"),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query(_q16_sql())
+def q16_bands(spark, d):
+    c, year, none = F.col, F.year("release_date"), F.lit(False)
+    text, has = lambda n: c(n).isNotNull() & (c(n) != ""), lambda n: c(n).isNotNull()
+    no_urls, dated = F.lit(None).cast("array<string>"), (year <= _NOW_YEAR + 1, True)
+    gpus = counting_rows(table(spark, d, "gpus"), "id", "updated_at", "architecture", "boost_clock_mhz", "base_clock_mhz", "memory_type", "release_date")
+    chips = counting_rows(table(spark, d, "socs"), "id", "updated_at", "cpu_config", "geekbench_multi", "process_nm", "gpu_name", "release_date")
+    p = phones(spark, d, "soc_id", "release_date", "ram_gb", "storage_options_gb", "display", "cameras", "charging_wired_w", "os", "source_urls")
+    p = p.join(chips.select(c("id").alias("soc_id"), c("release_date").alias("soc_date")), "soc_id", "left")
+    early = ((c("process_nm") < 7) & (year < 2017)) | ((c("process_nm") < 3) & (year < 2022))
+    parts = {
+        "cpu": (cpus(spark, d, "architecture", "base_clock_ghz", "boost_clock_ghz", "l3_cache_mb", "socket", "tdp_w", "threads", "cores", "release_date"), [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), none], [(c("threads") >= c("cores"), True), (c("boost_clock_ghz") >= c("base_clock_ghz"), True), dated], no_urls),
+        "gpu": (gpus, [text("architecture"), has("boost_clock_mhz"), text("memory_type"), *[none] * 4], [(c("boost_clock_mhz") >= c("base_clock_mhz"), True), dated], no_urls),
+        "soc": (chips, [text("cpu_config"), has("geekbench_multi"), *[none] * 4], [dated, (~early, False), (F.coalesce(F.trim("gpu_name") != "", none), False)], no_urls),
+        "smartphone": (p, [has("soc_id"), has("display.size_inch"), text("display.resolution"), has("display.ppi"), F.size("cameras") > 0, F.size("storage_options_gb") > 0, has("charging_wired_w"), none], verify.phone_signals(_NOW_YEAR), c("source_urls")),
+        "brand": (brands(spark, d), [has("founded_year"), none], [(c("founded_year") <= _NOW_YEAR, False)], c("source_urls")),
+    }
+    out = None
+    for category, (rows, rich, signals, urls) in parts.items():
+        one = rows.select(F.lit(category).alias("category"), "id", verify.tier0(rich, signals, urls).alias("s")).select("category", "id", "s.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---- Aggregates and windows ---------------------------------------------------------
 
 
