@@ -16,14 +16,15 @@ NOT_A_PRODUCT = r"\((company|product line|brand|manufacturer|disambiguation)\)|\
 
 def folded(c: Column) -> Column:
     """Lower-case ASCII without trade marks, footnotes, memory sizes, clocks, bus and process notes."""
-    t = F.lower(fold_ascii(F.regexp_replace(c, "[®™©]", "")))
+    # Underscores are blanks before any rule looks for the ends of words.
+    t = F.lower(fold_ascii(F.regexp_replace(F.regexp_replace(c, "[®™©]", ""), r"[_\s]+", " ")))
     t = F.regexp_replace(t, r"\((?:r|tm|c)\)|\[[^\]]*\]", " ")
     t = F.regexp_replace(t, r"/\s?pci-?e?\b.*$|[@,]\s*\d+(?:[.,]\d+)?\s*[gmk]hz\b", " ")
     t = F.regexp_replace(t, r"\(?\b\d+(?:[.,]\d+)?\s?(?:gb|tb|mb|nm|ghz|mhz)\b\)?", " ")
     # "5G" and "2nd Gen" may be written onto the number; ordinals have one form.
     t = F.regexp_replace(t, r"(?<=\d)5g\b", " 5g")
     t = F.regexp_replace(t, r"(?<=\d)?([1-9])\s?(?:st|nd|rd|th)[\s-]?gen\b", " gen $1 ")
-    return F.trim(F.regexp_replace(t, r"[_\s]+", " "))
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
 def without_kind(c: Column) -> Column:

@@ -237,3 +237,17 @@ def test_content(spark):
     assert {r["source"]: r["documents"] for r in content.rates(out).collect()} == {s: sum(x[2] == s for x in docs) for s in ("a", "b", None)}
     assert content.score_corpus(d, lab.limit(0)).where("harmful or score > 0").count() == 0
     assert content.score_corpus(d.limit(0), lab).count() == 0
+
+
+def test_names_with_underscores(spark):
+    """Underscores are blanks to every rule: ordinals, memory sizes and "5G" too."""
+    table = {
+        "Syvoevek_Iscorlo_194_3rd_gen": ("syvoevek", "iscorlo", "194", "gen3"),
+        "Syvoevek Iscorlo 194 Gen 3": ("syvoevek", "iscorlo", "194", "gen3"),
+        "Syvoevek_Iscorlo_1943rd__Gen": ("syvoevek", "iscorlo", "194", "gen3"),
+        "Korvano_Vista_555_Pro_8GB_128GB": ("korvano", "vista", "555", "pro"),
+        "Lumqano_Edgeline_611_5G": ("lumqano", "edgeline", "611", "5g"),
+    }
+    df = spark.createDataFrame(list(enumerate(table)), "i int, name string")
+    got = {r["name"]: tuple(r["p"][f] for f in ("maker", "family", "code", "suffix")) for r in product_names.with_product(df, F.col("name")).collect()}
+    assert got == table
