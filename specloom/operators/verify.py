@@ -82,6 +82,12 @@ def tier0(rich: list[Column], signals: list[tuple[Column, bool]], urls: Column)
     return F.struct(band.alias("band"), py_round(total).alias("total"), best.alias("best_tier"))
 
 
+def failed(signals: list[tuple[Column, bool]], names: list[str]) -> Column:
+    """The names of the hard signals that failed, marked with "!"; ``names`` are those of the hard ones in order."""
+    hard = [s for s, is_hard in signals if is_hard]
+    return F.array_compact(F.array(*[F.when(~s, f"!{n}") for s, n in zip(hard, names, strict=True)])) if hard else F.array().cast("array<string>")
+
+
 def fresh(checked: Column, now: Column, days: int) -> Column:
     """Whether fewer than ``days`` whole days have gone by; false without a time."""
     return F.coalesce(F.floor((F.unix_timestamp(now) - F.unix_timestamp(checked)) / 86400) < days, F.lit(False))
@@ -103,6 +109,24 @@ def crossref(records: DataFrame, candidates: DataFrame, key: str = "record_id")
     return r.join(best, key, "left").select(key, F.when(F.col("any").isNull(), "notfound").when(gap.isNull(), "ambiguous").when(gap <= 1, "confirm").otherwise("contradict").alias("decision"))
 
 
+def found_headings(records: DataFrame, entries: DataFrame, key: str = "record_id") -> DataFrame:
+    """(key, rank, title, year): for each record the entries whose headings agree with its name, as ``crossref`` reads them.
+
+    ``entries`` have title, rank and year. Each heading is searched once, by its endings;
+    of entries with one heading the one that ``crossref`` would prefer stands for all.
+    """
+    e = entries.select(normalize_heading(F.col("title")).alias("h"), "rank", "year").where("h <> ''")
+    e = e.groupBy("h").agg(F.min(F.struct(F.col("year").isNull().alias("blank"), "rank", "year")).alias("e")).select("h", "e.rank", "e.year")
+    r = records.select(key, normalize_heading(F.col("name")).alias("n")).where("n <> ''")
+    # The endings of ``c`` of at least ``least`` letters, and ``c`` itself.
+    endings = lambda c, least: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - least + 1, F.lit(1))), lambda i: F.substr(c, i))
+    names = r.select("n").distinct()
+    within = names.withColumn("h", F.explode(endings(F.col("n"), 4))).join(e.select("h"), "h")
+    around = e.select("h").where("length(h) >= 4").withColumn("n", F.explode(endings(F.col("h"), 1))).join(names, "n")
+    pairs = within.select("n", "h").union(around.select("n", "h")).distinct()
+    return r.join(pairs, "n").join(e, "h").select(key, "rank", F.col("h").alias("title"), "year")
+
+
 def promotion(band: Column, decision: Column) -> Column:
     """Struct (promote, reason): a contradiction vetoes, a confirmation or a green band promotes."""
     pair = lambda yes, why: F.struct(F.lit(yes).alias("promote"), F.lit(why).alias("reason"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from specloom.functions import mathx, parsers, text
 from specloom.functions.mathx import ERA_BANDS, PHONE_SCALES, SOC_SCALES, TIERS, Scale, capability, combine, era_band, py_round
 from specloom.operators import records, scoring, verify
+from specloom.session import cut
 from specloom.sources.tables import counting_rows, table
 
 QUERIES: dict = {}
@@ -348,21 +349,29 @@ _NOW_YEAR = 2026
 _NO_URLS = "NULL::VARCHAR[]"
 
 
-def _tier0_sql(category: str, source: str, rich: list[str], signals: list[tuple[str, bool]], urls: str = _NO_URLS) -> str:
-    """As verify.tier0, over a source with id; ``rich`` and ``signals`` are conditions."""
+def _tier0_sql(category: str, source: str, rich: list[str], signals: list[tuple[str, bool]], urls: str = _NO_URLS, names: list[str] | None = None, wide: str = "") -> str:
+    """As verify.tier0, over a source with id; ``rich`` and ``signals`` are conditions, ``wide`` further columns."""
     host = "regexp_replace(regexp_extract(lower(u), '^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)', 1), '^www\\.', '')"
     known = " ".join("WHEN regexp_matches(h, '(^|\\.)(" + "|".join(x.replace(".", "\\.") for x in hosts) + f")$') THEN {t}" for t, hosts in verify.TIER_HOSTS.items())
     tiers = f"list_transform(list_distinct(list_transform({urls}, lambda u: {host})), lambda h: CASE {known} ELSE 0 END)"
     count = lambda flags: " + ".join(f"coalesce({f}, false)::INT" for f in flags)
-    cells = f"SELECT id, {count(rich)} AS rich, {count(f'({s}) IS NOT NULL' for s, _ in signals)} AS asked, {count(s for s, _ in signals)} AS passed, {count(f'NOT ({s})' for s, hard in signals if hard) or '0'} AS hard, {tiers} AS tiers FROM ({source})"
+    if wide:
+        hard_flags = ", ".join(f"CASE WHEN NOT ({x}) THEN '!{n}' END" for n, x in zip(names, (x for x, hard in signals if hard), strict=True))
+        wide += f", list_filter([{hard_flags}]::VARCHAR[], lambda x: x IS NOT NULL) AS flags"
+    cells = f"SELECT id, {wide + ', ' if wide else ''}{count(rich)} AS rich, {count(f'({s}) IS NOT NULL' for s, _ in signals)} AS asked, {count(s for s, _ in signals)} AS passed, {count(f'NOT ({s})' for s, hard in signals if hard) or '0'} AS hard, {tiers} AS tiers FROM ({source})"
     best = f"SELECT *, coalesce(list_min(list_filter(tiers, lambda t: t > 0)), 0) AS best_tier, coalesce(len(list_filter(tiers, lambda t: t IN (1, 2))), 0) AS strong FROM ({cells})"
     trust = "least(CASE best_tier WHEN 1 THEN 26.0::DOUBLE WHEN 2 THEN 18.0::DOUBLE WHEN 3 THEN 6.0::DOUBLE ELSE 3.0::DOUBLE END + CASE WHEN strong >= 2 THEN 4.0::DOUBLE ELSE 0.0::DOUBLE END, 30.0::DOUBLE)"
     total = f"SELECT *, 25.0::DOUBLE * rich / {float(len(rich))}::DOUBLE + CASE WHEN asked = 0 THEN 35.0::DOUBLE ELSE 35.0::DOUBLE * passed / asked::DOUBLE END + {trust} + 7.0::DOUBLE AS total FROM ({best})"
     band = "CASE WHEN hard > 0 THEN 'red' WHEN total >= 75 AND best_tier IN (1, 2) THEN 'green' WHEN total < 45 THEN 'red' ELSE 'yellow' END"
-    return f"SELECT '{category}' AS category, id, {band} AS band, {rnd('total')} AS total, best_tier FROM ({total})"
+    more = ", slug, name, released, verified, '" + category + ":' || model AS model, flags" if wide else ""
+    return f"SELECT '{category}' AS category, id, {band} AS band, {rnd('total')} AS total, best_tier{more} FROM ({total})"
 
 
-def _q16_sql() -> str:
+#: The hard signals of a category, in order.
+_HARD = {"cpu": ["threads_ge_cores", "boost_ge_base", "release_not_future"], "gpu": ["boost_ge_base", "release_not_future"], "soc": ["release_not_future"], "smartphone": ["release_not_future"], "brand": []}
+
+
+def _q16_sql(wide: bool = False) -> str:
     text, has = lambda x: f"({x} IS NOT NULL AND {x} <> '')", lambda x: f"({x} IS NOT NULL)"
     dated = f"year(release_date) <= {_NOW_YEAR + 1}"
     shape = "'(\\d{2,5})\\s*[x×]\\s*(\\d{2,5})'"
@@ -378,29 +387,33 @@ def _q16_sql() -> str:
         (f"ram_gb <= list_max({s})", False),
         ("year(soc_date) <= year(release_date) + CASE WHEN strftime(soc_date, '%m-%d') = '01-01' THEN 2 ELSE 0 END", False),
     ]
+    more = {
+        k: {"names": _HARD[k], "wide": f"slug, name, {'NULL::INT' if k == 'brand' else 'year(release_date)'} AS released, {'coalesce(verified, false)' if k in ('cpu', 'smartphone') else 'false'} AS verified, {model} AS model"} if wide else {}
+        for k, model in {"cpu": "slug", "gpu": "slug", "soc": "slug", "smartphone": "CASE WHEN base_model_slug <> '' THEN coalesce(brand_id::VARCHAR, '') || '/' || base_model_slug ELSE slug END", "brand": "slug"}.items()
+    }
     # Fields that the tables lack count as absent.
     parts = [
-        _tier0_sql("cpu", f"SELECT * FROM {latest('cpus')}", [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), "false"], [("threads >= cores", True), ("boost_clock_ghz >= base_clock_ghz", True), (dated, True)]),
-        _tier0_sql("gpu", f"SELECT * FROM {latest('gpus')}", [text("architecture"), has("boost_clock_mhz"), text("memory_type"), *["false"] * 4], [("boost_clock_mhz >= base_clock_mhz", True), (dated, True)]),
-        _tier0_sql("soc", f"SELECT * FROM {latest('socs')}", [text("cpu_config"), has("geekbench_multi"), *["false"] * 4], [(dated, True), ("NOT ((process_nm < 7 AND year(release_date) < 2017) OR (process_nm < 3 AND year(release_date) < 2022))", False), ("coalesce(trim(gpu_name) <> '', false)", False)]),
-        _tier0_sql("smartphone", f"SELECT p.*, s.release_date AS soc_date FROM {latest('smartphones')} p LEFT JOIN {latest('socs')} s ON p.soc_id = s.id", [has("soc_id"), has("display.size_inch"), text("display.resolution"), has("display.ppi"), "(len(cameras) > 0)", f"(len({s}) > 0)", has("charging_wired_w"), "false"], phone, "source_urls"),
-        _tier0_sql("brand", f"SELECT * FROM {latest('brands')}", [has("founded_year"), "false"], [(f"founded_year <= {_NOW_YEAR}", False)], "source_urls"),
+        _tier0_sql("cpu", f"SELECT * FROM {latest('cpus')}", [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), "false"], [("threads >= cores", True), ("boost_clock_ghz >= base_clock_ghz", True), (dated, True)], **more["cpu"]),
+        _tier0_sql("gpu", f"SELECT * FROM {latest('gpus')}", [text("architecture"), has("boost_clock_mhz"), text("memory_type"), *["false"] * 4], [("boost_clock_mhz >= base_clock_mhz", True), (dated, True)], **more["gpu"]),
+        _tier0_sql("soc", f"SELECT * FROM {latest('socs')}", [text("cpu_config"), has("geekbench_multi"), *["false"] * 4], [(dated, True), ("NOT ((process_nm < 7 AND year(release_date) < 2017) OR (process_nm < 3 AND year(release_date) < 2022))", False), ("coalesce(trim(gpu_name) <> '', false)", False)], **more["soc"]),
+        _tier0_sql("smartphone", f"SELECT p.*, s.release_date AS soc_date FROM {latest('smartphones')} p LEFT JOIN {latest('socs')} s ON p.soc_id = s.id", [has("soc_id"), has("display.size_inch"), text("display.resolution"), has("display.ppi"), "(len(cameras) > 0)", f"(len({s}) > 0)", has("charging_wired_w"), "false"], phone, "source_urls", **more["smartphone"]),
+        _tier0_sql("brand", f"SELECT * FROM {latest('brands')}", [has("founded_year"), "false"], [(f"founded_year <= {_NOW_YEAR}", False)], "source_urls", **more["brand"]),
     ]
     return " UNION ALL ".join(parts)
 
 
-@query(_q16_sql())
-def q16_bands(spark, d):
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    """(category, id, slug, name, released, verified, model, flags, band, total, best_tier) of the catalog's records."""
     c, year, none = F.col, F.year("release_date"), F.lit(False)
     text, has = lambda n: c(n).isNotNull() & (c(n) != ""), lambda n: c(n).isNotNull()
     no_urls, dated = F.lit(None).cast("array<string>"), (year <= _NOW_YEAR + 1, True)
-    gpus = counting_rows(table(spark, d, "gpus"), "id", "updated_at", "architecture", "boost_clock_mhz", "base_clock_mhz", "memory_type", "release_date")
-    chips = counting_rows(table(spark, d, "socs"), "id", "updated_at", "cpu_config", "geekbench_multi", "process_nm", "gpu_name", "release_date")
-    p = phones(spark, d, "soc_id", "release_date", "ram_gb", "storage_options_gb", "display", "cameras", "charging_wired_w", "os", "source_urls")
+    gpus = counting_rows(table(spark, d, "gpus"), "id", "updated_at", "architecture", "boost_clock_mhz", "base_clock_mhz", "memory_type", "release_date", "slug", "name")
+    chips = counting_rows(table(spark, d, "socs"), "id", "updated_at", "cpu_config", "geekbench_multi", "process_nm", "gpu_name", "release_date", "slug", "name")
+    p = phones(spark, d, "slug", "name", "base_model_slug", "brand_id", "verified", "soc_id", "release_date", "ram_gb", "storage_options_gb", "display", "cameras", "charging_wired_w", "os", "source_urls")
     p = p.join(chips.select(c("id").alias("soc_id"), c("release_date").alias("soc_date")), "soc_id", "left")
     early = ((c("process_nm") < 7) & (year < 2017)) | ((c("process_nm") < 3) & (year < 2022))
     parts = {
-        "cpu": (cpus(spark, d, "architecture", "base_clock_ghz", "boost_clock_ghz", "l3_cache_mb", "socket", "tdp_w", "threads", "cores", "release_date"), [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), none], [(c("threads") >= c("cores"), True), (c("boost_clock_ghz") >= c("base_clock_ghz"), True), dated], no_urls),
+        "cpu": (cpus(spark, d, "slug", "name", "verified", "architecture", "base_clock_ghz", "boost_clock_ghz", "l3_cache_mb", "socket", "tdp_w", "threads", "cores", "release_date"), [text("architecture"), has("base_clock_ghz"), has("boost_clock_ghz"), has("l3_cache_mb"), text("socket"), has("tdp_w"), none], [(c("threads") >= c("cores"), True), (c("boost_clock_ghz") >= c("base_clock_ghz"), True), dated], no_urls),
         "gpu": (gpus, [text("architecture"), has("boost_clock_mhz"), text("memory_type"), *[none] * 4], [(c("boost_clock_mhz") >= c("base_clock_mhz"), True), dated], no_urls),
         "soc": (chips, [text("cpu_config"), has("geekbench_multi"), *[none] * 4], [dated, (~early, False), (F.coalesce(F.trim("gpu_name") != "", none), False)], no_urls),
         "smartphone": (p, [has("soc_id"), has("display.size_inch"), text("display.resolution"), has("display.ppi"), F.size("cameras") > 0, F.size("storage_options_gb") > 0, has("charging_wired_w"), none], verify.phone_signals(_NOW_YEAR), c("source_urls")),
@@ -408,11 +421,69 @@ def q16_bands(spark, d):
     }
     out = None
     for category, (rows, rich, signals, urls) in parts.items():
-        one = rows.select(F.lit(category).alias("category"), "id", verify.tier0(rich, signals, urls).alias("s")).select("category", "id", "s.*")
+        model = c("slug")
+        if category == "smartphone":
+            model = F.when(c("base_model_slug") != "", F.concat(F.coalesce(c("brand_id").cast("string"), F.lit("")), F.lit("/"), "base_model_slug")).otherwise(model)
+        released = year if "release_date" in rows.columns else F.lit(None).cast("int")
+        verified = F.coalesce("verified", none) if "verified" in rows.columns else none
+        one = rows.select(F.lit(category).alias("category"), "id", "slug", "name", released.alias("released"), verified.alias("verified"), F.concat(F.lit(f"{category}:"), model).alias("model"), verify.failed(signals, _HARD[category]).alias("flags"), verify.tier0(rich, signals, urls).alias("s"))
+        one = one.select(*[n for n in one.columns if n != "s"], "s.*")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+@query(_q16_sql())
+def q16_bands(spark, d):
+    return _scored(spark, d).select("category", "id", "band", "total", "best_tier")
+
+
+_SCORED_SQL = f"(SELECT * FROM ({_q16_sql(wide=True)}) WHERE slug <> '')"
+
+
+@query(
+    "SELECT *, " + rnd("CASE WHEN total > 0 THEN 100.0::DOUBLE * verified / total ELSE 0 END", 2) + " AS verified_pct, " + rnd("CASE WHEN models > 0 THEN 100.0::DOUBLE * verified_models / models ELSE 0 END", 2) + " AS verified_models_pct, green AS promotable FROM ("
+    "SELECT coalesce(category, 'ALL') AS category, count(*) AS total, count(*) FILTER (verified) AS verified, count(DISTINCT model) AS models, count(DISTINCT model) FILTER (verified) AS verified_models, "
+    "count(*) FILTER (band = 'green') AS green, count(*) FILTER (band = 'yellow') AS yellow, count(*) FILTER (band = 'red') AS red FROM " + _SCORED_SQL + " GROUP BY ROLLUP (category))"
+)
+def a10_verified_rollup(spark, d):
+    is_ = lambda band: F.count_if(F.col("band") == band).alias(band)
+    share = lambda part, whole: py_round(F.when(F.col(whole) > 0, 100.0 * F.col(part) / F.col(whole)).otherwise(0.0), 2)
+    s = _scored(spark, d).where("slug <> ''").rollup("category").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if("verified").alias("verified"), F.count_distinct("model").alias("models"), F.count_distinct(F.when(F.col("verified"), F.col("model"))).alias("verified_models"), is_("green"), is_("yellow"), is_("red")
+    )
+    s = s.withColumn("verified_pct", share("verified", "total")).withColumn("verified_models_pct", share("verified_models", "models"))
+    return s.withColumn("promotable", F.col("green")).withColumn("category", F.coalesce("category", F.lit("ALL")))
+
+
+@query("SELECT coalesce(category, 'ALL') AS category, count(*) FILTER (band = 'green') AS green, count(*) FILTER (band = 'yellow') AS yellow, count(*) FILTER (band = 'red') AS red, count(*) AS total FROM " + _SCORED_SQL + " GROUP BY ROLLUP (category)")
+def a11_band_histogram(spark, d):
+    s = _scored(spark, d).where("slug <> ''").rollup("category").agg(*[F.count_if(F.col("band") == b).alias(b) for b in ("green", "yellow", "red")], F.count(F.lit(1)).alias("total"))
+    return s.withColumn("category", F.coalesce("category", F.lit("ALL")))
+
+
+@query("SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM " + _SCORED_SQL + ") GROUP BY 1 ORDER BY n DESC, flag LIMIT 10")
+def a11_top_flags(spark, d):
+    return _scored(spark, d).where("slug <> ''").select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "flag").limit(10)
+
+
+_HEADING = "regexp_replace(lower({x}), '[^a-z0-9]+', '', 'g')"
+
+
+@query(
+    f"WITH r AS (SELECT category, id, band, released, {_HEADING.format(x='name')} AS n FROM {_SCORED_SQL} WHERE NOT verified), c AS (SELECT candidate_id, release_year, {_HEADING.format(x='title')} AS h FROM crossref_candidates), "
+    "m AS (SELECT category, id, arg_min(release_year, (CASE WHEN release_year IS NULL THEN 1 ELSE 0 END, candidate_id)) AS found FROM r JOIN c ON n <> '' AND h <> '' AND (n = h OR (length(h) >= 4 AND (ends_with(n, h) OR ends_with(h, n)))) GROUP BY 1, 2), "
+    "x AS (SELECT r.category, r.id, r.band, CASE WHEN m.id IS NULL THEN 'notfound' WHEN m.found IS NULL OR r.released IS NULL THEN 'ambiguous' WHEN abs(r.released - m.found) <= 1 THEN 'confirm' ELSE 'contradict' END AS decision FROM r LEFT JOIN m ON r.category = m.category AND r.id = m.id) "
+    "SELECT *, coalesce(decision = 'confirm' OR (decision <> 'contradict' AND band = 'green'), false) AS promote, CASE WHEN decision = 'contradict' THEN 'crossref-contradict' WHEN decision = 'confirm' THEN 'crossref-confirm' WHEN band = 'green' THEN 'green' ELSE 'needs-confirmation' END AS reason FROM x"
+)
+def q19_promotions(spark, d):
+    # Read five times below: scored once into a written table.
+    r = _scored(spark, d).where("slug <> '' and not verified").select(F.concat_ws(":", "category", "id").alias("record_id"), "category", "id", "band", "name", F.col("released").alias("year"))
+    r = cut(r, "q19-records")
+    entries = table(spark, d, "crossref_candidates").select("title", F.col("candidate_id").alias("rank"), F.col("release_year").alias("year"))
+    decisions = verify.crossref(r, cut(verify.found_headings(r, entries), "q19-found"))
+    return r.join(decisions, "record_id").select("category", "id", "band", "decision", verify.promotion(F.col("band"), F.col("decision")).alias("p")).select("category", "id", "band", "decision", "p.promote", "p.reason")
+
+
 # ---- Aggregates and windows ---------------------------------------------------------
 
 

@@ -39,3 +39,25 @@ def test_phone_signals(spark):
     signals = verify.phone_signals(2026)
     got = {r["id"]: list(r["s"]) for r in df.select("id", F.array(*[s for s, _ in signals]).alias("s")).collect()}
     assert got == {r[0]: r[-1] for r in rows} and [hard for _, hard in signals] == [False, False, False, True, False, False]
+
+
+def test_found_headings_lead_to_promotion(spark):
+    """Entries are found by their headings, and decide together with the band."""
+    records = spark.createDataFrame(
+        [("a", "AMD Ryzen 7 5800X", 2020, "yellow"), ("b", "Ryzen 7 5800X", 2015, "green"), ("c", "Xy", 2020, "yellow"), ("d", "Other 12", 2020, "green"), ("e", " - ", 2020, "yellow"), ("f", None, 2020, "yellow"), ("g", "Zed 900", None, "yellow")],
+        "record_id string, name string, year int, band string",
+    )
+    entries = spark.createDataFrame([("ryzen-7 5800x", 1, None), ("Ryzen 7 5800X", 2, 2021), ("Maker Xy", 3, 2021), ("X", 4, 2020), ("r 12", 5, 2010), ("", 6, 2020), (None, 7, 2020), ("Zed 900", 8, 2020)], "title string, rank bigint, year int")
+    found = verify.found_headings(records, entries)
+    assert {(r["record_id"], r["rank"]) for r in found.collect()} == {("a", 2), ("b", 2), ("c", 3), ("g", 8)}
+    out = records.join(verify.crossref(records, found), "record_id").select("record_id", "decision", verify.promotion(F.col("band"), F.col("decision")).alias("p"))
+    assert {r["record_id"]: (r["decision"], r["p"]["promote"]) for r in out.collect()} == {
+        "a": ("confirm", True), "b": ("contradict", False), "c": ("confirm", True), "d": ("notfound", True), "e": ("notfound", False), "f": ("notfound", False), "g": ("ambiguous", False),
+    }
+    assert verify.found_headings(records, entries.limit(0)).count() == 0
+
+
+def test_failed_names_hard_signals(spark):
+    df = spark.createDataFrame([(False, False, True), (None, False, False)], "a boolean, b boolean, c boolean")
+    signals = [(F.col("a"), True), (F.col("b"), False), (F.col("c"), True)]
+    assert [r[0] for r in df.select(verify.failed(signals, ["x", "y"])).collect()] == [["!x"], ["!y"]]
