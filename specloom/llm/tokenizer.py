@@ -88,7 +88,7 @@ def pretoken_starts(text: str) -> list[int]:
 def pieces(long_docs: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(doc_id, at, _text): pieces of long texts whose ids concatenate to the text's ids.
 
-    Where two neighbours have no common boundary in their overlap (a pre-token longer than
+    ``doc_id`` is unique and not null. Where two neighbours have no common boundary in their overlap (a pre-token longer than
     it), the text stays one piece from there on.
     """
     n = F.length("text")
@@ -118,22 +118,24 @@ def pieces(long_docs: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) ->
 def encode_corpus(documents: DataFrame, path: str | None = None, counts: bool = False, chunk: int = CHUNK, overlap: int = OVERLAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *keep, ids) of every document, or (doc_id, *keep, tokens) with their number.
 
-    Null and empty texts have an empty list, or 0. A repeated doc_id gives as many rows
-    when its text is short; long texts are told apart by id, so there copies give one row.
+    Null and empty texts have an empty list, or 0. Each row gives a row, whatever its length:
+    a repeated or null doc_id is no key. Long texts are therefore worked on once per
+    distinct text, under 60 bits of its SHA-256, and joined back by it.
     """
     path, key = path or rank_file(), "tokens" if counts else "ids"
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text")
     short = F.coalesce(F.length("text") <= chunk, F.lit(True))
     whole = _encode(docs.where(short).select("doc_id", *keep, F.col("text").alias("_text")), key, counts, path)
-    long_docs = docs.where(~short).dropDuplicates(["doc_id"])
-    parts = _encode(pieces(long_docs, chunk, overlap).repartition("doc_id", "at"), key, counts, path)
+    digest = F.conv(F.substr(F.sha2("text", 256), F.lit(2), F.lit(15)), 16, 10).cast("bigint")
+    long_docs = docs.where(~short).withColumn("_digest", digest)
+    texts = long_docs.select(F.col("_digest").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    parts = _encode(pieces(texts, chunk, overlap).repartition("doc_id", "at"), key, counts, path)
     if counts:
-        long = parts.groupBy("doc_id").agg(F.sum(key).alias(key))
+        done = parts.groupBy("doc_id").agg(F.sum(key).alias(key))
     else:
         ordered = F.array_sort(F.collect_list(F.struct("at", key)))
-        long = parts.groupBy("doc_id").agg(F.flatten(F.transform(ordered, lambda x: x[key])).alias(key))
-    if keep:
-        long = long_docs.select("doc_id", *keep).join(long, "doc_id")
+        done = parts.groupBy("doc_id").agg(F.flatten(F.transform(ordered, lambda x: x[key])).alias(key))
+    long = long_docs.select("doc_id", *keep, "_digest").join(done.withColumnRenamed("doc_id", "_digest"), "_digest").select("doc_id", *keep, key)
     return whole.unionByName(long)
 
 

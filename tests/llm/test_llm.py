@@ -251,3 +251,16 @@ def test_names_with_underscores(spark):
     df = spark.createDataFrame(list(enumerate(table)), "i int, name string")
     got = {r["name"]: tuple(r["p"][f] for f in ("maker", "family", "code", "suffix")) for r in product_names.with_product(df, F.col("name")).collect()}
     assert got == table
+
+
+def test_tokenizer_gives_a_row_for_each_long_row(spark):
+    """Long rows with one id, equal or not, and without an id, are encoded like short ones."""
+    enc = tokenizer.encoding(tokenizer.rank_file())
+    a, b = "foo bar " * 300, "bar 12 " * 300
+    docs = [(1, a, "s"), (1, b, "t"), (1, a, "u"), (None, a, "v"), (None, b, "w"), (None, "x", "x"), (2, None, "y")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    out = tokenizer.encode_corpus(df, chunk=500, overlap=50, keep=("source",)).collect()
+    ids = lambda t: enc.encode_ordinary(t) if t else []
+    assert {r["source"]: (r["doc_id"], r["ids"]) for r in out} == {s: (i, ids(t)) for i, t, s in docs} and len(out) == len(docs)
+    plain = tokenizer.encode_corpus(df.drop("source"), chunk=500, overlap=50, counts=True).collect()
+    assert sorted((r["doc_id"] or 0, r["tokens"]) for r in plain) == sorted((i or 0, len(ids(t))) for i, t, _ in docs)
