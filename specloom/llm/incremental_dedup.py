@@ -1,8 +1,8 @@
 """Deduplicating new batches against all history without reprocessing it.
 
 State is four tables in the shared folder, one partition per batch:
-``classes`` (distinct spellings of products), ``keys`` (blocking keys, each with the class
-that brought it first), ``parents`` (the union-find forest over classes) and ``members``
+``classes`` (distinct spellings of products), ``keys`` (blocking keys, each with every class
+that has it), ``parents`` (the union-find forest over classes) and ``members``
 (row to class). A batch is parsed, folded to classes, new classes probe the key table,
 pairs are scored with learned weights, and only clusters that a pair touches get new
 parents. A class is named by its first row, so a cluster's root is the row that brought
@@ -10,8 +10,9 @@ the product first.
 
 A blocking key is everything that must agree exactly (category, maker, model code,
 suffix, memory) with one spelling of the family less at most one letter; spellings one
-slip apart share such a key. Classes of a key are compared with the class that brought it
-first, never with each other, so a hot key costs one comparison per class.
+slip apart share such a key. A class is compared with every class of its keys: the first of
+a key may be two slips from a later one that is one slip from a third. Copies are one class,
+so the pairs of a key grow with its distinct spellings and not with its rows.
 """
 
 from __future__ import annotations
@@ -227,12 +228,11 @@ class Linker:
         folded = rows.groupBy(*by).agg(F.min("ingest_id").alias("node"))
         new = self._write(folded.join(self.table("classes").select(*by), by, "left_anti") if self.done["classes"] else folded, "classes", number)
         brought = key_rows(new)
-        first = brought.groupBy("block", "spelling").agg(F.min(F.struct("node", "family", "stem", "code", "suffix", "memory")).alias("y")).select("block", "spelling", "y.*")
-        self._write(first.join(self.table("keys").select("block", "spelling"), ["block", "spelling"], "left_anti") if self.done["keys"] else first, "keys", number)
-        hubs = self.table("keys").select("block", "spelling", F.struct("node", "family", "stem", "code", "suffix", "memory").alias("y"))
+        self._write(brought, "keys", number)
+        known = self.table("keys").select("block", "spelling", F.struct("node", "family", "stem", "code", "suffix", "memory").alias("y"))
         pairs = (
             brought.select("block", "spelling", F.struct("node", "family", "stem", "code", "suffix", "memory").alias("x"))
-            .join(hubs, ["block", "spelling"])
+            .join(known, ["block", "spelling"])
             .where("x.node <> y.node")
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *levels("x", "y"))
         )

@@ -264,3 +264,14 @@ def test_tokenizer_gives_a_row_for_each_long_row(spark):
     assert {r["source"]: (r["doc_id"], r["ids"]) for r in out} == {s: (i, ids(t)) for i, t, s in docs} and len(out) == len(docs)
     plain = tokenizer.encode_corpus(df.drop("source"), chunk=500, overlap=50, counts=True).collect()
     assert sorted((r["doc_id"] or 0, r["tokens"]) for r in plain) == sorted((i or 0, len(ids(t))) for i, t, _ in docs)
+
+
+def test_dedup_meets_every_spelling_of_a_key(spark):
+    """The first spelling owns no key: a later one, two slips from it, still meets the right one."""
+    rows = [(i, n, "cpu", "korvano", f"{w}-s194", _record(f"Korvano {w.title()} S194")) for i, n, w in ((1, 0, "dallselfi"), (2, 0, "dalselfi"), (3, 1, "dalsselfi"), (4, 2, "dalselfix"), (5, 2, "lumnorq"))]
+    df = spark.createDataFrame(rows, "ingest_id bigint, batch_no int, category string, manufacturer string, slug string, record string")
+    linker = incremental_dedup.Linker(spark)
+    linker.weights = incremental_dedup.Weights({**incremental_dedup.DEFAULT.by_level, "family": [-20.0, 1.5, 0.5]}, 0.0)
+    for n in range(3):
+        linker.accept(df.where(f"batch_no = {n}"), n)
+    assert {r["ingest_id"]: r["first_id"] for r in linker.representatives().collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
