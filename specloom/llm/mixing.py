@@ -15,7 +15,7 @@ import random
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from specloom.llm.tokenizer import encode_corpus
@@ -164,7 +164,6 @@ def mix(documents: DataFrame, targets: DataFrame, budget: float | None = None, p
     base = units.where("base > 0").select("source", "doc_id", "tokens", F.col("base").alias("pick"))
     chosen = picked.unionByName(base).where("pick > 0").groupBy("doc_id", "source", "tokens").agg(F.sum("pick").cast("int").alias("copies"))
     used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"))
-    total = used.agg(F.sum("used_tokens").alias("total"))
     every = per_source.select("source").union(wanted.select("source")).distinct()
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
     shares = (
@@ -172,7 +171,8 @@ def mix(documents: DataFrame, targets: DataFrame, budget: float | None = None, p
         .join(wanted.alias("w"), same("e", "w"), "left")
         .join(per_source.alias("p"), same("e", "p"), "left")
         .join(used.alias("u"), same("e", "u"), "left")
-        .withColumn("total", F.lit(total.first()["total"] or 0))
+        # One row per source: a window over all of them is small.
+        .withColumn("total", F.sum("u.used_tokens").over(Window.partitionBy()))
         .select(
             F.col("e.source").alias("source"),
             F.coalesce("target_share", F.lit(0.0)).alias("target_share"),

@@ -131,16 +131,41 @@ def test_tokenizer_round_trip(spark):
     parts = ["foo", "bar  ", "été", "日本語", "1234", "don't", "\n\n", "😀", "<|endoftext|>"]
     docs = [(1, None), (2, ""), (3, "hello  world <|endoftext|> x"), (4, "a" * 5000), (5, " ".join(rnd.choice(parts) for _ in range(3000))), (6, " " * 4000 + "x"), (7, "x y " * 2000), (3, "hello  world <|endoftext|> x")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("ids", F.lit("clash"))
-    for chunk, overlap in ((1000, 100), (257, 33), (tokenizer.CHUNK, tokenizer.OVERLAP)):
-        out = tokenizer.encode_corpus(df, chunk=chunk, overlap=overlap)
+    for chunk, overlap, spread, more in ((1000, 100, 3000, 300), (257, 33, 500, 40), (tokenizer.CHUNK, tokenizer.OVERLAP, tokenizer.SPREAD, tokenizer.SPREAD_OVERLAP)):
+        out = tokenizer.encode_corpus(df, chunk=chunk, overlap=overlap, spread=spread, spread_overlap=more)
         got = {r["doc_id"]: r["ids"] for r in out.collect()}
         assert got == {i: enc.encode_ordinary(t) if t else [] for i, t in docs} and out.count() == len(docs)
         data = {r["doc_id"]: bytes(r["data"]) for r in tokenizer.decode_corpus(out).collect()}
         assert data == {i: (t or "").encode() for i, t in docs}
-    assert tokenizer.pieces(df.where("doc_id = 5"), 1000, 100).count() > 5
+    # A run without a boundary joins the chunks it crosses, and no others.
+    run = " ".join("ab" for _ in range(400)) + "z" * 900 + " ab" * 400
+    texts = df.limit(1).select(F.lit("k").alias("key"), F.lit(run).alias("text"))
+    parts = tokenizer.pieces(texts, 300, 30).orderBy("at").collect()
+    assert "".join(r["_text"] for r in parts) == run == "".join(tokenizer.stitched(run, 300, 30)) and len(parts) == len(tokenizer.stitched(run, 300, 30)) >= 6
     assert tokenizer.encode_corpus(df.limit(0)).count() == 0
 
 
+def test_no_text_is_lost_whatever_its_id(spark):
+    """Long and short texts of null and repeated ids give a row each."""
+    enc = tokenizer.encoding(tokenizer.rank_file())
+    rows = [(None, "a b " * 500), (None, "c d " * 600), (7, "e " * 900), (7, "f " * 900), (8, "x"), (8, "x"), (9, "g " * 900), (9, "g " * 900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = tokenizer.encode_corpus(df, chunk=100, overlap=10, spread=400, spread_overlap=40)
+    key = lambda i, ids: (i or -1, ids)
+    assert sorted(key(r["doc_id"], r["ids"]) for r in out.collect()) == sorted(key(i, enc.encode_ordinary(t)) for i, t in rows)
+    counted = tokenizer.encode_corpus(df, counts=True, chunk=100, overlap=10, spread=400, spread_overlap=40)
+    assert sorted(r["tokens"] for r in counted.collect()) == sorted(len(enc.encode_ordinary(t)) for _, t in rows)
+
+
+def test_stitching_is_exact():
+    """Random texts of blanks, letters and signs, at many chunk sizes."""
+    enc, rnd = tokenizer.encoding(tokenizer.rank_file()), random.Random(11)
+    for _ in range(150):
+        text = "".join(rnd.choice(["a", "b", " ", "  ", "\n", "'s", "'", "1", "22", "é", "日", "!", "...", "\t "]) for _ in range(rnd.randint(1, 400)))
+        chunk = rnd.randint(5, 60)
+        assert [i for p in tokenizer.stitched(text, chunk, rnd.randint(1, chunk)) for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
+
+
 def test_tokenizer_equals_the_other_library():
     from tokenizers import Tokenizer
 
