@@ -1,25 +1,33 @@
 """Deduplicating new batches against all history without reprocessing it.
 
-State is four tables in the shared folder, one partition per batch:
-``classes`` (distinct spellings of products), ``keys`` (blocking keys, each with every class
-that has it), ``parents`` (the union-find forest over classes) and ``members``
-(row to class). A batch is parsed, folded to classes, new classes probe the key table,
-pairs are scored with learned weights, and only clusters that a pair touches get new
-parents. A class is named by its first row, so a cluster's root is the row that brought
-the product first.
-
-A blocking key is everything that must agree exactly (category, maker, model code,
-suffix, memory) with one spelling of the family less at most one letter; spellings one
-slip apart share such a key. A class is compared with every class of its keys: the first of
-a key may be two slips from a later one that is one slip from a third. Copies are one class,
-so the pairs of a key grow with its distinct spellings and not with its rows.
+State is a folder of tables, one partition per batch and, but for ``members``, per bucket
+of blocks: ``members`` (rows with their parsed fields and class), ``classes`` (distinct
+spellings of products), ``keys`` (blocking keys, each with every class that has it),
+``clusters`` (class to representative, the latest entry counts), ``weights`` and ``done``.
+A linker that opens the folder goes on where the last one stopped, whatever process that
+was; a batch counts once it is in ``done``, so one that broke off is taken in again.
+
+A batch is parsed, folded to classes, new classes probe the keys of their buckets, pairs
+are scored with learned weights, and only clusters that a pair touches get new entries.
+Pairs and clusters never leave a block, so no bucket is read that the batch does not touch.
+A class is named by its first row, and a cluster by its first class: the row that brought
+the product first, as ids rise with batches.
+
+A block is what must agree exactly (category, maker, model code, suffix, memory): makers
+share families, so a family and a number say nothing without the maker. A key is a block
+with one spelling of the family less at most one letter, which spellings one slip apart
+share; how name and slug spell the family decides by weights. A class is compared with
+every class of its keys; copies are one class, so pairs grow with the distinct spellings
+of a key and not with its rows.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +37,14 @@ from specloom.session import cut, shared_path
 
 FIELDS = ("category", "maker", "code", "suffix", "memory", "family", "stem")
 #: Comparison fields and their levels, for the weights.
-LEVELS = {"family": 3, "stem": 3, "code": 2, "suffix": 2, "memory": 2}
+LEVELS = {"family": 3, "stem": 3}
+BLOCK = ("category", "maker", "code", "suffix", "memory")
+#: Buckets of blocks; a batch of few rows reads few of them.
+BUCKETS = 16
 
 
-def product_rows(batch: DataFrame) -> DataFrame:
-    """(ingest_id, fields ...) of candidate rows, parsed from record and slug.
+def product_rows(batch: DataFrame, *keep: str) -> DataFrame:
+    """(ingest_id, fields ..., *keep) of candidate rows, parsed from record and slug.
 
     A row whose name has no model number falls back on its slug; without either it is a
     product of its own (its code is its id). Nulls become ''.
@@ -45,6 +56,7 @@ def product_rows(batch: DataFrame) -> DataFrame:
         F.regexp_replace(F.lower("slug"), r"-(\d+(?:st|nd|rd|th)-)?entry$", "").alias("slug"),
         F.col("manufacturer").alias("given"),
         F.from_json("record", "name string, manufacturer string, ram_gb string, storage_options_gb string").alias("r"),
+        *keep,
     )
     rows = with_product(rows, F.when(c("r.name").rlike(r"\d{3}"), c("r.name")).otherwise(F.regexp_replace("slug", "[-_]+", " ")))
     storage = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(blank(c("r.storage_options_gb")), F.lit(r"(\d+)"), 1), lambda x: x.cast("bigint"))))
@@ -62,6 +74,7 @@ def product_rows(batch: DataFrame) -> DataFrame:
         blank(memory).alias("memory"),
         blank(c("p.family")).alias("family"),
         blank(stem).alias("stem"),
+        *keep,
     )
 
 
@@ -73,8 +86,7 @@ def spellings(family: Column, stem: Column) -> Column:
 
 def key_rows(classes: DataFrame) -> DataFrame:
     """One row per class and blocking key."""
-    block = F.concat_ws("|", "category", "maker", "code", "suffix", "memory")
-    return classes.withColumn("block", block).withColumn("spelling", F.explode(spellings(F.col("family"), F.col("stem")))).select("block", "spelling", "node", "family", "stem", "code", "suffix", "memory")
+    return classes.withColumn("block", F.concat_ws("|", *BLOCK)).withColumn("spelling", F.explode(spellings(F.col("family"), F.col("stem")))).select("bucket", "block", "spelling", "node", "family", "stem")
 
 
 def levels(a: str, b: str) -> list[Column]:
@@ -84,8 +96,7 @@ def levels(a: str, b: str) -> list[Column]:
     text = lambda n: words(c(a, n), c(b, n))
     # A slip in one spelling may be absent from the other spelling of the same row.
     across = F.greatest(text("family"), words(c(a, "family"), c(b, "stem")), words(c(a, "stem"), c(b, "family")))
-    same = lambda n: F.when(c(a, n) == c(b, n), 1).otherwise(0)
-    return [across.alias("family"), text("stem").alias("stem"), same("code").alias("code"), same("suffix").alias("suffix"), same("memory").alias("memory")]
+    return [across.alias("family"), text("stem").alias("stem")]
 
 
 @dataclass
@@ -106,15 +117,15 @@ class Weights:
 
 
 #: Where no history pairs exist to learn from.
-DEFAULT = Weights({"family": [-4.0, 1.5, 0.5], "stem": [-1.0, 0.5, 0.5], "code": [-8.0, 6.0], "suffix": [-6.0, 2.5], "memory": [-6.0, 2.0]}, 0.0)
+DEFAULT = Weights({"family": [-4.0, 1.5, 2.0], "stem": [-1.0, 0.5, 0.5]}, 0.0)
 
 
 def learn(shared: list[dict], random: list[dict], rounds: int = 60) -> Weights:
     """Fellegi-Sunter weights over counted agreement patterns.
 
-    ``random`` are pairs of different products of one maker and give u; ``shared`` are pairs
-    with a blocking key in common and give m and the prior, by expectation maximisation
-    with u fixed. Each has at most 72 rows (levels and n), whatever the size of the history.
+    ``random`` are pairs of different blocks and give u; ``shared`` are pairs with a
+    blocking key in common and give m and the prior, by expectation maximisation with u
+    fixed. Each has at most 9 rows (levels and n), whatever the size of the history.
     """
     total = sum(r["n"] for r in shared)
     if total < 50 or sum(r["n"] for r in random) < 50:
@@ -147,11 +158,14 @@ def counted(pairs: DataFrame) -> list[dict]:
 
 
 def random_pairs(classes: DataFrame) -> DataFrame:
-    """Every class against the first of its maker, but for those that agree in all a key holds."""
-    by = ["category", "maker"]
-    hub = classes.groupBy(*by).agg(F.min(F.struct("node", "family", "stem", "code", "suffix", "memory")).alias("h"))
-    pairs = classes.alias("a").join(hub.alias("k"), by).where("a.node <> k.h.node").select(F.struct("a.family", "a.stem", "a.code", "a.suffix", "a.memory").alias("x"), F.col("k.h").alias("y"))
-    return pairs.select(*levels("x", "y")).where("code = 0 or suffix = 0 or memory = 0")
+    """Levels of every class against a class of another block: the first of some hash slot of its category."""
+    slot = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(64))
+    first = classes.groupBy("category", slot(1).alias("slot")).agg(F.min(F.struct("node", *BLOCK, "family", "stem")).alias("y"))
+    rows = classes.select("category", slot(2).alias("slot"), F.struct("node", *BLOCK, "family", "stem").alias("x"))
+    other = F.lit(False)
+    for n in BLOCK:
+        other = other | (F.col(f"x.{n}") != F.col(f"y.{n}"))
+    return rows.join(first, ["category", "slot"]).where(other).select(*levels("x", "y"))
 
 
 def _observed(df: DataFrame, condition: Column, path: str) -> tuple[DataFrame, int]:
@@ -182,89 +196,123 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 class Linker:
-    """The persisted state and the way a batch goes into it."""
+    """The state in a folder and the way a batch goes into it."""
 
+    _FIELDS = ", ".join(f"{f} string" for f in FIELDS)
     TABLES = {
-        "members": "ingest_id bigint, " + ", ".join(f"{f} string" for f in FIELDS),
-        "classes": "node bigint, " + ", ".join(f"{f} string" for f in FIELDS),
-        "keys": "block string, spelling string, node bigint, family string, stem string, code string, suffix string, memory string",
-        "parents": "node bigint, parent bigint",
+        "members": f"ingest_id bigint, class string, {_FIELDS}, bucket int",
+        "classes": f"class string, node bigint, {_FIELDS}, bucket int",
+        "keys": "block string, spelling string, node bigint, family string, stem string, bucket int",
+        "clusters": "node bigint, root bigint, turn int, bucket int",
+        "weights": "weights string",
+        "done": "batch int, turn int",
     }
 
-    def __init__(self, spark: SparkSession, path: str | None = None) -> None:
-        self.spark, self.path, self.weights = spark, path or shared_path(spark, "dedup"), None
-        self.done: dict[str, list[int]] = {name: [] for name in self.TABLES}
-        #: Hops from any class to its root: one, and one more for each batch that merged old clusters.
-        self.depth = 1
-
-    def table(self, name: str) -> DataFrame:
-        if not self.done[name]:
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS) -> None:
+        """Opens the state below ``path``, or a fresh one; ``buckets`` stays as it was first given."""
+        self.spark, self.path, self.buckets = spark, path or shared_path(spark, "dedup"), buckets
+        #: Batches taken in, in their order.
+        self.done: list[int] = [r["batch"] for r in sorted(self._stored("done"), key=lambda r: r["turn"])] if path else []
+        stored = self._stored("weights") if path else []
+        self.weights = Weights(**json.loads(stored[0]["weights"])) if stored else None
+
+    def _stored(self, name: str) -> list:
+        """The rows of a small table that may not be there yet."""
+        try:
+            return self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}").collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+
+    def table(self, name: str, buckets: list[int] | None = None, more: tuple[int, ...] = ()) -> DataFrame:
+        """A table of the batches taken in (and ``more``), of some buckets where given."""
+        columns = [c.split()[0] for c in self.TABLES[name].split(", ")]
+        batches = [*self.done, *more]
+        if not batches:
             return self.spark.createDataFrame([], self.TABLES[name])
-        return self.spark.read.schema(self.TABLES[name]).parquet(*[f"{self.path}/{name}/batch={b}" for b in self.done[name]])
-
-    def _columns(self, name: str) -> list[str]:
-        return [c.split()[0] for c in self.TABLES[name].split(", ")]
+        df = self.spark.read.schema(self.TABLES[name]).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/batch={b}" for b in batches]).select(*columns)
+        return df if buckets is None else df.where(F.col("bucket").isin(buckets))
 
     def _write(self, df: DataFrame, name: str, batch: int) -> DataFrame:
         """A batch that is tried again replaces what its first try left."""
-        path = f"{self.path}/{name}/batch={batch}"
-        df.select(*self._columns(name)).write.mode("overwrite").parquet(path)
-        self.done[name].append(batch)
-        return self.spark.read.schema(self.TABLES[name]).parquet(path)
-
-    def roots(self, nodes: DataFrame, node: str = "node") -> DataFrame:
-        """``nodes`` with a column root, up the forest."""
-        out = nodes.withColumn("root", F.col(node))
-        if self.done["parents"]:
-            forest = self.table("parents").groupBy(F.col("node").alias("root")).agg(F.min("parent").alias("_up"))
-            for _ in range(self.depth):
-                out = out.join(forest, "root", "left").withColumn("root", F.coalesce("_up", "root")).drop("_up")
-        return out
+        df.select(*[c.split()[0] for c in self.TABLES[name].split(", ")]).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
+        # Only this batch of the table.
+        return self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}/batch={batch}")
+
+    def parse(self, batch: DataFrame, *keep: str) -> DataFrame:
+        """Rows as ``members`` holds them."""
+        rows = product_rows(batch, *keep)
+        bucket = F.pmod(F.xxhash64(F.concat_ws("|", *BLOCK)), F.lit(self.buckets)).cast("int")
+        return rows.select("ingest_id", F.md5(F.concat_ws("\u001f", *FIELDS)).alias("class"), *FIELDS, bucket.alias("bucket"), *keep)
 
     def accept(self, batch: DataFrame, number: int) -> None:
-        """Take in one batch."""
-        by = list(FIELDS)
-        rows = self._write(product_rows(batch), "members", number)
-        folded = rows.groupBy(*by).agg(F.min("ingest_id").alias("node"))
-        new = self._write(folded.join(self.table("classes").select(*by), by, "left_anti") if self.done["classes"] else folded, "classes", number)
-        brought = key_rows(new)
-        self._write(brought, "keys", number)
-        known = self.table("keys").select("block", "spelling", F.struct("node", "family", "stem", "code", "suffix", "memory").alias("y"))
+        """Take in one batch; one already taken in is left as it is."""
+        if number not in self.done:
+            self.parse(batch).write.mode("overwrite").parquet(f"{self.path}/members/batch={number}")
+            self.take(number)
+
+    def take(self, number: int) -> None:
+        """Take in a batch whose members are written."""
+        spark = self.spark
+        rows = spark.read.schema(self.TABLES["members"]).parquet(f"{self.path}/members/batch={number}")
+        folded = rows.groupBy("class", "bucket").agg(F.min("ingest_id").alias("node"), *[F.any_value(f).alias(f) for f in FIELDS])
+        # At most ``buckets`` rows.
+        touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+        new = self._write(folded.join(self.table("classes", touched).select("class"), "class", "left_anti"), "classes", number)
+        brought = self._write(key_rows(new), "keys", number)
+        x, y = F.struct("node", "family", "stem"), F.struct("node", "family", "stem")
         pairs = (
-            brought.select("block", "spelling", F.struct("node", "family", "stem", "code", "suffix", "memory").alias("x"))
-            .join(known, ["block", "spelling"])
-            .where("x.node <> y.node")
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *levels("x", "y"))
+            brought.select("bucket", "block", "spelling", x.alias("x"))
+            .join(self.table("keys", touched, (number,)).select("bucket", "block", "spelling", y.alias("y")), ["bucket", "block", "spelling"])
+            # Equal families share all their keys; one of them is enough.
+            .where("x.node <> y.node and (x.family <> y.family or spelling = x.family)")
+            .select("bucket", F.col("x.node").alias("a"), F.col("y.node").alias("b"), *levels("x", "y"))
         )
         if self.weights is None:
-            self.weights = learn(counted(pairs.select(*LEVELS)), counted(random_pairs(new)))
-        # Posterior odds of at least one to one; block and spelling agree by the key.
-        linked = self.roots(pairs.where(self.weights.score({f: F.col(f) for f in LEVELS}) >= 0).select("a", "b"), "b")
-        both = linked.select("a", F.col("root").alias("b")).where("a <> b")
-        edges = cut(both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-edges")
-        found = components(edges, "dedup-labels").where("node <> root").withColumnRenamed("root", "parent")
-        marked = found.join(new.select("node", F.lit(True).alias("is_new")), "node", "left").select("node", "parent", "is_new")
-        _, merged = _observed(marked, F.col("is_new").isNull(), f"{self.path}/parents/batch={number}")
-        self.done["parents"].append(number)
-        self.depth += merged > 0
+            pairs = cut(pairs, "dedup-pairs")
+            self.weights = learn(counted(pairs), counted(random_pairs(new)))
+            spark.createDataFrame([(json.dumps(asdict(self.weights)),)], self.TABLES["weights"]).write.mode("overwrite").parquet(f"{self.path}/weights")
+        # Posterior odds of at least one to one; what a block holds agrees by the key.
+        linked = cut(pairs.where(self.weights.score({f: F.col(f) for f in LEVELS}) >= 0).select("bucket", "a", "b").distinct(), "dedup-linked")
+        hit = self.clusters(touched).join(linked.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("b"), "root")
+        both = linked.join(hit, "b", "left").select("bucket", "a", F.coalesce("root", "b").alias("b")).where("a <> b")
+        edges = cut(both.union(both.select("bucket", F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-edges")
+        moved = components(edges, "dedup-labels").where("node <> root").join(edges.select(F.col("a").alias("node"), "bucket").distinct(), "node").select("node", "root", "bucket")
+        # Classes below a representative that moved go with it.
+        below = self.clusters(touched).withColumnRenamed("root", "old").join(moved.select(F.col("node").alias("old"), "root"), "old").select("node", "root", "bucket")
+        self._write(moved.union(below).withColumn("turn", F.lit(len(self.done))), "clusters", number)
+        spark.createDataFrame([(number, len(self.done))], self.TABLES["done"]).coalesce(1).write.mode("append").parquet(f"{self.path}/done")
+        self.done.append(number)
+
+    def clusters(self, buckets: list[int] | None = None) -> DataFrame:
+        """(node, root, bucket) of classes that are not their own representative."""
+        return self.table("clusters", buckets).groupBy("node", "bucket").agg(F.max_by("root", "turn").alias("root")).select("node", "root", "bucket")
 
     def representatives(self) -> DataFrame:
         """(ingest_id, first_id) of every row taken in."""
-        by = list(FIELDS)
-        resolved = self.roots(self.table("classes"))
-        return self.table("members").join(resolved, by).select("ingest_id", F.col("root").alias("first_id"))
+        roots = self.table("classes").select("class", "node").join(self.clusters().select("node", "root"), "node", "left").select("class", F.coalesce("root", "node").alias("first_id"))
+        return self.table("members").select("ingest_id", "class").join(roots, "class").select("ingest_id", "first_id")
 
 
-def link_batches(candidates: DataFrame) -> DataFrame:
+def link_batches(candidates: DataFrame, path: str | None = None) -> DataFrame:
     """All rows through the linker, batch after batch: (ingest_id, first_id).
 
-    Batches are taken in order of their numbers (one row per number comes to the driver);
-    rows without a number count as the last batch. Repeated ids count once.
+    Rows are parsed once. Batches are taken in order of their numbers (one row per number
+    comes to the driver); rows without a number count as the last batch. Repeated ids count
+    once. With the ``path`` of an earlier run only batches it has not seen are taken in.
     """
     spark = candidates.sparkSession
     last = 2**31 - 1
-    rows = candidates.withColumn("batch_no", F.coalesce(F.col("batch_no").cast("int"), F.lit(last)))
-    linker = Linker(spark)
-    for r in rows.select("batch_no").distinct().orderBy("batch_no").collect():
-        linker.accept(rows.where(F.col("batch_no") == r["batch_no"]), r["batch_no"])
+    linker = Linker(spark, path)
+    rows = linker.parse(candidates.withColumn("batch", F.coalesce(F.col("batch_no").cast("int"), F.lit(last))), "batch")
+    if linker.done:
+        rows = rows.where(~F.col("batch").isin(linker.done))
+    staged = shared_path(spark, "dedup-staged")
+    rows.hint("rebalance", "batch").write.partitionBy("batch").parquet(staged)
+    every = spark.read.schema(Linker.TABLES["members"] + ", batch int").parquet(staged)
+    for r in every.select("batch").distinct().orderBy("batch").collect():
+        number = r["batch"]
+        spark.read.schema(Linker.TABLES["members"]).parquet(f"{staged}/batch={number}").write.mode("overwrite").parquet(f"{linker.path}/members/batch={number}")
+        linker.take(number)
     return linker.representatives().distinct()

@@ -300,3 +300,44 @@ def test_dedup_meets_every_spelling_of_a_key(spark):
     for n in range(3):
         linker.accept(df.where(f"batch_no = {n}"), n)
     assert {r["ingest_id"]: r["first_id"] for r in linker.representatives().collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
+def test_dedup_is_taken_up_by_a_new_linker(spark, tmp_path):
+    """A linker per batch, each on the folder of the last, gives what one linker gives; batches count once."""
+    df = spark.read.parquet(SF + "/ingest_candidates.parquet").where("ingest_id <= 500 or batch_no in (1, 8, 9)")
+    path = f"file://{tmp_path}/state"
+    for n in (0, 1, 8, 9, 8):
+        incremental_dedup.Linker(spark, path).accept(df.where(f"batch_no = {n}"), n)
+    again = incremental_dedup.Linker(spark, path)
+    assert again.done == [0, 1, 8, 9] and again.weights is not None
+    step = {tuple(r) for r in again.representatives().collect()}
+    assert step == {tuple(r) for r in incremental_dedup.link_batches(df).collect()} and any(a != b for a, b in step)
+    # A batch that broke off before it was done is taken in anew.
+    again.parse(df.limit(3)).write.parquet(f"{path}/members/batch=12")
+    assert {tuple(r) for r in incremental_dedup.Linker(spark, path).representatives().collect()} == step
+    assert {tuple(r) for r in incremental_dedup.link_batches(df, path).collect()} == step
+
+
+def test_a_small_batch_reads_its_buckets_only(spark, tmp_path):
+    df = spark.read.parquet(SF + "/ingest_candidates.parquet")
+    path = f"file://{tmp_path}/state"
+    linker = incremental_dedup.Linker(spark, path)
+    linker.accept(df.where("batch_no = 0"), 0)
+    one = linker.parse(df.where("batch_no = 1").limit(1))
+    touched = [r["bucket"] for r in one.collect()]
+    whole, part = linker.table("keys"), linker.table("keys", touched)
+    assert len(part.inputFiles()) == len(whole.inputFiles())  # before pruning
+    files = part.select(F.input_file_name().alias("f")).distinct().count()
+    assert files < whole.select(F.input_file_name().alias("f")).distinct().count() and "PartitionFilters: [isnotnull(bucket" in part._jdf.queryExecution().toString()
+
+
+def test_blocking_loses_no_true_pair(spark):
+    """Recall of the keys against all pairs of a block under the link rule's slips, by brute force."""
+    df = spark.read.parquet(SF + "/ingest_candidates.parquet")
+    rows = incremental_dedup.product_rows(df).groupBy(*incremental_dedup.FIELDS).agg(F.min("ingest_id").alias("node")).withColumn("bucket", F.lit(0)).cache()
+    near = lambda x, y: ((F.col(x) != "") & (F.col(y) != "") & product_names.one_slip(F.col(x), F.col(y)))
+    by = list(incremental_dedup.BLOCK)
+    pairs = rows.alias("x").join(rows.alias("y"), [F.col(f"x.{n}") == F.col(f"y.{n}") for n in [*by, "maker"]]).where("x.node < y.node").where(near("x.family", "y.family")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    k = incremental_dedup.key_rows(rows)
+    met = k.alias("x").join(k.alias("y"), ["block", "spelling"]).where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    assert pairs.count() > 50 and pairs.join(met, ["a", "b"], "left_anti").count() == 0
