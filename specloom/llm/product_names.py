@@ -11,7 +11,7 @@ from specloom.functions.text import fold_ascii
 KIND_WORDS = ("mobile platform", "system on a chip", "system-on-a-chip", "graphics card", "processor", "smartphone", "chipset", "phone", "tablet", "cpu", "gpu", "apu", "soc", "dual sim", "handset")
 CORPORATE_WORDS = ("technologies", "technology", "electronics", "devices", "mobile", "group", "corporation", "company", "corp", "inc", "ltd", "llc", "gmbh", "co")
 BY_WORDS = ("by", "von", "de", "from", "par", "di", "por")
-NOT_A_PRODUCT = r"\((company|product line|brand|manufacturer|disambiguation)\)|\b(series|lineup|product line)\b"
+NOT_A_PRODUCT = r"^list of\b|\((company|product line|brand|manufacturer|disambiguation)\)|\b(series|lineup|product line)\b"
 
 
 def folded(c: Column) -> Column:
@@ -35,37 +35,45 @@ def with_product(df: DataFrame, text: Column, out: str = "p") -> DataFrame:
     """Adds the attributes of a name: struct (maker, short, family, code, suffix), null parts where absent.
 
     ``code`` is the model number with the letter before it, ``suffix`` all that follows it
-    without blanks (a plus sign is the word plus). ``maker`` is what stands before the
-    family, in brackets, or after a word like "by"; ``short`` marks an abbreviated maker.
-    A text without a model number of three to five digits, and a null, give a null struct.
+    without blanks (a plus sign is the word plus). A number of three to five digits is the
+    model's; without one the first number is. ``family`` is the last word before it, lone
+    digits between the two belong to the code. A name without any digit is all family, with
+    an empty code. ``maker`` is what stands before the family, in brackets, or after a word
+    like "by"; ``short`` marks an abbreviated maker. A null, a text without letters or digits
+    and a name of something else (a company, a list) give a null struct.
     Each step is a column of its own, so no step is worked out twice.
     """
     tail = r"(?:\(([a-z][a-z. ]+)\)|\s(?:" + "|".join(BY_WORDS) + r")\s+([a-z][a-z. ]+))\s*$"
     shape = r"^\s*(.*?)\s?\b(?:([a-z])\s?)?(\d{3,5})(?!\d)\s*(.*)$"
+    lesser = r"^\s*(.*?)\s?\b(?:([a-z])\s?)?(\d+)(?!\d)\s*(.*)$"
     corporate = r"\b(?:" + "|".join(CORPORATE_WORDS) + r")\b\.?"
     c = F.col
     n = F.size("_words")
+    part = lambda g: F.when(c("_kind") == 1, F.regexp_extract("_body", shape, g)).when(c("_kind") == 2, F.regexp_extract("_body", lesser, g))
     return (
         df.withColumn("_t", without_kind(folded(text)))
         .withColumn("_tail", F.regexp_extract(F.concat(F.regexp_extract("_t", tail, 1), F.regexp_extract("_t", tail, 2)), r"^\s*([a-z.]+)", 1))
         .withColumn("_body", F.regexp_replace(F.regexp_replace(F.regexp_replace("_t", tail, " "), r"\+", " plus "), r"[^a-z0-9.]+", " "))
-        .withColumn("_words", F.filter(F.split(F.regexp_replace(F.regexp_extract("_body", shape, 1), corporate, " "), r"\s+"), lambda w: w != ""))
+        .withColumn("_kind", F.when(c("_body").rlike(r"\b[a-z]?\s?\d{3,5}(?!\d)"), 1).when(c("_body").rlike(r"\b[a-z]?\d"), 2).when(c("_body").rlike("[a-z]"), 3))
+        .withColumn("_words", F.filter(F.split(F.regexp_replace(F.coalesce(part(1), c("_body")), corporate, " "), r"\s+"), lambda w: w != ""))
+        # Numbers between the family and the model's number.
+        .withColumn("_between", F.when(c("_kind") < 3, F.regexp_replace(F.regexp_extract(F.array_join("_words", " "), r"((?:\s[0-9.]+)+)$", 1), r"[^0-9]+", "-")))
+        .withColumn("_words", F.when(c("_between") != "", F.filter("_words", lambda w: ~w.rlike(r"^[0-9.]+$"))).otherwise(c("_words")))
         .withColumn("_first", F.when(n > 1, F.get("_words", F.lit(0))).when(c("_tail") != "", c("_tail")))
-        .withColumn("_number", F.regexp_extract("_body", shape, 3))
         .withColumn(
             out,
             F.when(
-                (c("_number") != "") & ~c("_t").rlike(NOT_A_PRODUCT),
+                c("_kind").isNotNull() & ~c("_t").rlike(NOT_A_PRODUCT),
                 F.struct(
                     F.nullif(F.regexp_replace("_first", "[^a-z]", ""), F.lit("")).alias("maker"),
                     F.coalesce(c("_first").endswith("."), F.lit(False)).alias("short"),
-                    F.regexp_replace(F.get("_words", n - 1), "[^a-z]", "").alias("family"),
-                    F.concat(F.regexp_extract("_body", shape, 2), c("_number")).alias("code"),
-                    F.regexp_replace(F.regexp_extract("_body", shape, 4), "[^a-z0-9]", "").alias("suffix"),
+                    F.when(c("_kind") == 3, F.regexp_replace(F.array_join(F.when(n > 1, F.slice("_words", 2, F.greatest(n, F.lit(1)))).otherwise(c("_words")), ""), "[^a-z]", "")).otherwise(F.regexp_replace(F.get("_words", n - 1), "[^a-z]", "")).alias("family"),
+                    F.when(c("_kind") == 3, "").otherwise(F.concat(F.when(c("_between") != "", F.concat(F.substr("_between", F.lit(2)), F.lit("-"))).otherwise(""), part(2), part(3))).alias("code"),
+                    F.when(c("_kind") == 3, "").otherwise(F.regexp_replace(part(4), "[^a-z0-9]", "")).alias("suffix"),
                 ),
             ),
         )
-        .drop("_t", "_tail", "_body", "_words", "_first", "_number")
+        .drop("_t", "_tail", "_body", "_kind", "_words", "_between", "_first")
     )
 
 
