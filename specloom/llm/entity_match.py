@@ -35,7 +35,7 @@ UNSTATED = 0.8
 OTHER_FAMILY, OTHER_MAKER = 0.3, 0.25
 CONFIDENT = 0.5
 #: Pseudo pairs (score, matches, pairs) that stand where there is no evidence.
-PRIOR = ((0.5, 0.0, 1.0), (1.0, 1.0, 1.0))
+PRIOR = ((0.5, 0.0, 4.0), (0.85, 4.0, 4.0), (1.0, 4.0, 4.0))
 
 KEYS = ("maker", "short", "address_maker", "family", "code", "suffix")
 

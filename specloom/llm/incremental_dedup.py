@@ -1,11 +1,11 @@
 """Deduplicating new batches against all history without reprocessing it.
 
-State is a folder of tables, one partition per batch and, but for ``members``, per bucket
-of blocks: ``members`` (rows with their parsed fields and class), ``classes`` (distinct
+State is a folder of tables, one partition per turn (one batch, or some that were waiting
+together) and, but for ``members``, per bucket of blocks: ``members`` (rows with their parsed fields and class), ``classes`` (distinct
 spellings of products), ``keys`` (blocking keys, each with every class that has it),
 ``clusters`` (class to representative, the latest entry counts), ``weights`` and ``done``.
 A linker that opens the folder goes on where the last one stopped, whatever process that
-was; a batch counts once it is in ``done``, so one that broke off is taken in again.
+was; a batch counts once it is in ``done``, so a turn that broke off is taken in again.
 
 A batch is parsed, folded to classes, new classes probe the keys of their buckets, pairs
 are scored with learned weights, and only clusters that a pair touches get new entries.
@@ -41,13 +41,15 @@ LEVELS = {"family": 3, "stem": 3}
 BLOCK = ("category", "maker", "code", "suffix", "memory")
 #: Buckets of blocks; a batch of few rows reads few of them.
 BUCKETS = 16
+#: Waiting batches are taken in together up to this many rows a turn.
+TURN_ROWS = 1_000_000
 
 
 def product_rows(batch: DataFrame, *keep: str) -> DataFrame:
     """(ingest_id, fields ..., *keep) of candidate rows, parsed from record and slug.
 
-    A row whose name has no model number falls back on its slug; without either it is a
-    product of its own (its code is its id). Nulls become ''.
+    A row whose name has no number of three digits falls back on its slug if that has one;
+    without a name or slug it is a product of its own (its code is its id). Nulls become ''.
     """
     c, blank = F.col, lambda x: F.coalesce(x, F.lit(""))
     rows = batch.where("ingest_id is not null").select(
@@ -58,7 +60,8 @@ def product_rows(batch: DataFrame, *keep: str) -> DataFrame:
         F.from_json("record", "name string, manufacturer string, ram_gb string, storage_options_gb string").alias("r"),
         *keep,
     )
-    rows = with_product(rows, F.when(c("r.name").rlike(r"\d{3}"), c("r.name")).otherwise(F.regexp_replace("slug", "[-_]+", " ")))
+    words, long = F.regexp_replace("slug", "[-_]+", " "), r"\d{3}"
+    rows = with_product(rows, F.when(c("r.name").rlike(long), c("r.name")).when(words.rlike(long), words).otherwise(F.coalesce(F.nullif(F.trim("r.name"), F.lit("")), words)))
     storage = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(blank(c("r.storage_options_gb")), F.lit(r"(\d+)"), 1), lambda x: x.cast("bigint"))))
     memory = F.when(c("category") == "smartphone", F.concat(F.regexp_extract(blank(c("r.ram_gb")), r"(\d+)", 1), F.lit("/"), F.array_join(storage.cast("array<string>"), ",")))
     letters = F.regexp_replace(F.regexp_replace(fold_ascii(c("slug")), r"\d+\s?gb\b", " "), r"[^a-z]+", " ")
@@ -78,15 +81,24 @@ def product_rows(batch: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+#: Families of this many letters and more are keyed by their ends: one slip leaves one of them whole.
+LONG = 64
+
+
 def spellings(family: Column, stem: Column) -> Column:
-    """The family, the family less any one letter, and the slug's stem."""
+    """The family, the family less any one letter, and the slug's stem; of a long family its two ends."""
     less = F.transform(F.sequence(F.lit(1), F.greatest(F.length(family), F.lit(1))), lambda i: F.concat(F.substr(family, F.lit(1), i - 1), F.substr(family, i + 1)))
-    return F.array_distinct(F.concat(F.array(family), less, F.filter(F.array(stem), lambda s: s != "")))
+    none = F.array().cast("array<string>")
+    less = F.when(F.length(family) <= LONG, less).otherwise(none)
+    ends = F.when(F.length(family) >= LONG, F.array(F.concat(F.lit("^"), F.left(family, F.lit(LONG // 2))), F.concat(F.lit("$"), F.right(family, F.lit(LONG // 2))))).otherwise(none)
+    return F.array_distinct(F.concat(F.array(family), less, ends, F.filter(F.array(stem), lambda s: s != "")))
 
 
 def key_rows(classes: DataFrame) -> DataFrame:
-    """One row per class and blocking key."""
-    return classes.withColumn("block", F.concat_ws("|", *BLOCK)).withColumn("spelling", F.explode(spellings(F.col("family"), F.col("stem")))).select("bucket", "block", "spelling", "node", "family", "stem")
+    """One row per class and blocking key; ``key`` and ``check`` are two hashes of block and spelling."""
+    return classes.withColumn("spelling", F.explode(spellings(F.col("family"), F.col("stem")))).select(
+        "bucket", F.xxhash64(*BLOCK, "spelling").alias("key"), F.xxhash64("spelling", *reversed(BLOCK)).alias("check"), (F.col("spelling") == F.col("family")).alias("whole"), "node", "family", "stem"
+    )
 
 
 def levels(a: str, b: str) -> list[Column]:
@@ -202,8 +214,8 @@ class Linker:
     TABLES = {
         "members": f"ingest_id bigint, class string, {_FIELDS}, bucket int",
         "classes": f"class string, node bigint, {_FIELDS}, bucket int",
-        "keys": "block string, spelling string, node bigint, family string, stem string, bucket int",
-        "clusters": "node bigint, root bigint, turn int, bucket int",
+        "keys": "key bigint, check bigint, whole boolean, node bigint, family string, stem string, bucket int",
+        "clusters": "node bigint, root bigint, at int, bucket int",
         "weights": "weights string",
         "done": "batch int, turn int",
     }
@@ -211,8 +223,8 @@ class Linker:
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS) -> None:
         """Opens the state below ``path``, or a fresh one; ``buckets`` stays as it was first given."""
         self.spark, self.path, self.buckets = spark, path or shared_path(spark, "dedup"), buckets
-        #: Batches taken in, in their order.
-        self.done: list[int] = [r["batch"] for r in sorted(self._stored("done"), key=lambda r: r["turn"])] if path else []
+        done = self._stored("done") if path else []
+        self.done, self.turns = {r["batch"] for r in done}, 1 + max((r["turn"] for r in done), default=-1)
         stored = self._stored("weights") if path else []
         self.weights = Weights(**json.loads(stored[0]["weights"])) if stored else None
 
@@ -225,20 +237,19 @@ class Linker:
                 return []
             raise
 
-    def table(self, name: str, buckets: list[int] | None = None, more: tuple[int, ...] = ()) -> DataFrame:
-        """A table of the batches taken in (and ``more``), of some buckets where given."""
+    def table(self, name: str, buckets: list[int] | None = None, more: int = 0) -> DataFrame:
+        """A table of the turns done (and ``more`` after them), of some buckets where given."""
         columns = [c.split()[0] for c in self.TABLES[name].split(", ")]
-        batches = [*self.done, *more]
-        if not batches:
+        if not self.turns + more:
             return self.spark.createDataFrame([], self.TABLES[name])
-        df = self.spark.read.schema(self.TABLES[name]).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/batch={b}" for b in batches]).select(*columns)
+        df = self.spark.read.schema(self.TABLES[name]).option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/turn={t}" for t in range(self.turns + more)]).select(*columns)
         return df if buckets is None else df.where(F.col("bucket").isin(buckets))
 
-    def _write(self, df: DataFrame, name: str, batch: int) -> DataFrame:
-        """A batch that is tried again replaces what its first try left."""
-        df.select(*[c.split()[0] for c in self.TABLES[name].split(", ")]).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/batch={batch}")
-        # Only this batch of the table.
-        return self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}/batch={batch}")
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        """This turn's part of a table; a turn that is tried again replaces what its first try left."""
+        path = f"{self.path}/{name}/turn={self.turns}"
+        df.select(*[c.split()[0] for c in self.TABLES[name].split(", ")]).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        return self.spark.read.schema(self.TABLES[name]).parquet(path)
 
     def parse(self, batch: DataFrame, *keep: str) -> DataFrame:
         """Rows as ``members`` holds them."""
@@ -249,45 +260,47 @@ class Linker:
     def accept(self, batch: DataFrame, number: int) -> None:
         """Take in one batch; one already taken in is left as it is."""
         if number not in self.done:
-            self.parse(batch).write.mode("overwrite").parquet(f"{self.path}/members/batch={number}")
-            self.take(number)
+            self.take(self.parse(batch), [number])
 
-    def take(self, number: int) -> None:
-        """Take in a batch whose members are written."""
-        spark = self.spark
-        rows = spark.read.schema(self.TABLES["members"]).parquet(f"{self.path}/members/batch={number}")
+    def take(self, parsed: DataFrame, numbers: list[int]) -> None:
+        """Take in parsed rows of batches as one turn."""
+        spark, path = self.spark, f"{self.path}/members/turn={self.turns}"
+        parsed.select(*[c.split()[0] for c in self.TABLES["members"].split(", ")]).write.mode("overwrite").parquet(path)
+        rows = spark.read.schema(self.TABLES["members"]).parquet(path)
         folded = rows.groupBy("class", "bucket").agg(F.min("ingest_id").alias("node"), *[F.any_value(f).alias(f) for f in FIELDS])
         # At most ``buckets`` rows.
         touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
-        new = self._write(folded.join(self.table("classes", touched).select("class"), "class", "left_anti"), "classes", number)
-        brought = self._write(key_rows(new), "keys", number)
-        x, y = F.struct("node", "family", "stem"), F.struct("node", "family", "stem")
+        new = self._write(folded.join(self.table("classes", touched).select("class"), "class", "left_anti") if self.turns else folded, "classes")
+        brought = self._write(key_rows(new), "keys")
+        side = lambda df, n: df.select("key", "check", "whole", "bucket", F.struct("node", "family", "stem").alias(n))
         pairs = (
-            brought.select("bucket", "block", "spelling", x.alias("x"))
-            .join(self.table("keys", touched, (number,)).select("bucket", "block", "spelling", y.alias("y")), ["bucket", "block", "spelling"])
-            # Equal families share all their keys; one of them is enough.
-            .where("x.node <> y.node and (x.family <> y.family or spelling = x.family)")
+            side(brought, "x")
+            .join(side(self.table("keys", touched, 1), "y").drop("whole", "bucket"), ["key", "check"])
+            # Equal families share all their keys; the whole one is enough.
+            .where("x.node <> y.node and (x.family <> y.family or whole)")
             .select("bucket", F.col("x.node").alias("a"), F.col("y.node").alias("b"), *levels("x", "y"))
         )
         if self.weights is None:
             pairs = cut(pairs, "dedup-pairs")
             self.weights = learn(counted(pairs), counted(random_pairs(new)))
-            spark.createDataFrame([(json.dumps(asdict(self.weights)),)], self.TABLES["weights"]).write.mode("overwrite").parquet(f"{self.path}/weights")
+            spark.createDataFrame([(json.dumps(asdict(self.weights)),)], self.TABLES["weights"]).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/weights")
         # Posterior odds of at least one to one; what a block holds agrees by the key.
-        linked = cut(pairs.where(self.weights.score({f: F.col(f) for f in LEVELS}) >= 0).select("bucket", "a", "b").distinct(), "dedup-linked")
-        hit = self.clusters(touched).join(linked.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("b"), "root")
-        both = linked.join(hit, "b", "left").select("bucket", "a", F.coalesce("root", "b").alias("b")).where("a <> b")
-        edges = cut(both.union(both.select("bucket", F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-edges")
+        linked = pairs.where(self.weights.score({f: F.col(f) for f in LEVELS}) >= 0).select("bucket", "a", "b").distinct()
+        if self.turns:
+            linked = linked.join(self.clusters(touched).select(F.col("node").alias("b"), "root"), "b", "left").select("bucket", "a", F.coalesce("root", "b").alias("b")).where("a <> b")
+        edges = cut(linked.union(linked.select("bucket", F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-edges")
         moved = components(edges, "dedup-labels").where("node <> root").join(edges.select(F.col("a").alias("node"), "bucket").distinct(), "node").select("node", "root", "bucket")
-        # Classes below a representative that moved go with it.
-        below = self.clusters(touched).withColumnRenamed("root", "old").join(moved.select(F.col("node").alias("old"), "root"), "old").select("node", "root", "bucket")
-        self._write(moved.union(below).withColumn("turn", F.lit(len(self.done))), "clusters", number)
-        spark.createDataFrame([(number, len(self.done))], self.TABLES["done"]).coalesce(1).write.mode("append").parquet(f"{self.path}/done")
-        self.done.append(number)
+        if self.turns:
+            # Classes below a representative that moved go with it.
+            moved = moved.union(self.clusters(touched).withColumnRenamed("root", "old").join(moved.select(F.col("node").alias("old"), "root"), "old").select("node", "root", "bucket"))
+        self._write(moved.withColumn("at", F.lit(self.turns)), "clusters")
+        spark.createDataFrame([(n, self.turns) for n in numbers], self.TABLES["done"]).coalesce(1).write.mode("append").parquet(f"{self.path}/done")
+        self.done |= set(numbers)
+        self.turns += 1
 
     def clusters(self, buckets: list[int] | None = None) -> DataFrame:
         """(node, root, bucket) of classes that are not their own representative."""
-        return self.table("clusters", buckets).groupBy("node", "bucket").agg(F.max_by("root", "turn").alias("root")).select("node", "root", "bucket")
+        return self.table("clusters", buckets).groupBy("node", "bucket").agg(F.max_by("root", "at").alias("root")).select("node", "root", "bucket")
 
     def representatives(self) -> DataFrame:
         """(ingest_id, first_id) of every row taken in."""
@@ -295,24 +308,29 @@ class Linker:
         return self.table("members").select("ingest_id", "class").join(roots, "class").select("ingest_id", "first_id")
 
 
-def link_batches(candidates: DataFrame, path: str | None = None) -> DataFrame:
-    """All rows through the linker, batch after batch: (ingest_id, first_id).
+def link_batches(candidates: DataFrame, path: str | None = None, turn_rows: int = TURN_ROWS) -> DataFrame:
+    """All rows through the linker in order of their batches: (ingest_id, first_id).
 
-    Rows are parsed once. Batches are taken in order of their numbers (one row per number
-    comes to the driver); rows without a number count as the last batch. Repeated ids count
-    once. With the ``path`` of an earlier run only batches it has not seen are taken in.
+    Rows are parsed once. The first batch ever is the history that weights are learned
+    from; later ones that are waiting are taken in together up to ``turn_rows`` rows (0:
+    one by one), with the result they would give one by one. One row per batch number comes
+    to the driver; rows without a number count as the last batch. Repeated ids count once.
+    With the ``path`` of an earlier run only batches it has not seen are taken in.
     """
     spark = candidates.sparkSession
     last = 2**31 - 1
     linker = Linker(spark, path)
     rows = linker.parse(candidates.withColumn("batch", F.coalesce(F.col("batch_no").cast("int"), F.lit(last))), "batch")
     if linker.done:
-        rows = rows.where(~F.col("batch").isin(linker.done))
+        rows = rows.where(~F.col("batch").isin(sorted(linker.done)))
     staged = shared_path(spark, "dedup-staged")
     rows.hint("rebalance", "batch").write.partitionBy("batch").parquet(staged)
     every = spark.read.schema(Linker.TABLES["members"] + ", batch int").parquet(staged)
-    for r in every.select("batch").distinct().orderBy("batch").collect():
-        number = r["batch"]
-        spark.read.schema(Linker.TABLES["members"]).parquet(f"{staged}/batch={number}").write.mode("overwrite").parquet(f"{linker.path}/members/batch={number}")
-        linker.take(number)
+    turn, size = [], 0
+    for number, n in [*((r["batch"], r["count"]) for r in every.groupBy("batch").count().orderBy("batch").collect()), (None, 0)]:
+        if turn and (number is None or not linker.turns or size + n > turn_rows):
+            linker.take(every.where(F.col("batch").isin(turn)), turn)
+            turn, size = [], 0
+        turn.append(number)
+        size += n
     return linker.representatives().distinct()
