@@ -2,10 +2,11 @@
 
 Texts are split into passages; passages and labelled examples become TF-IDF vectors of
 normalised words and word pairs. The nearest examples of a passage are found exactly by
-cosine with an inverted index whose postings lie in blocks of examples with the greatest
-weight of each term per block: blocks that cannot reach the k-th best similarity are
-skipped. Votes weighted by similarity give a score; scores are calibrated on the labelled
-documents, each judged without its own examples.
+cosine with an inverted index whose postings lie in blocks of examples with a bound per
+block: blocks that cannot reach the k-th best similarity are skipped. Votes weighted by
+similarity give a score; scores are calibrated on the labelled documents, each judged
+without its own examples. Every distinct passage of the corpus is scored once, however
+many documents repeat it.
 
 A label stands for a document, not for a passage. So an example is a passage with the
 number of labelled documents, and of harmful ones, in which it stands: what is common to
@@ -19,14 +20,18 @@ import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from specloom.llm.entity_match import confidence, curve_points
+from specloom.session import cut
+
 #: Bound on the labelled documents whose passages are examples, per class. This bounds the
 #: index that every task holds; it is a classifier's training sample.
 MAX_LABELLED = 3000
@@ -46,6 +51,10 @@ START = 0.03
 ROUNDS = 3
 #: Blocks scored first, for the similarity that others must reach.
 HEAD = 4
+#: Bounds of the training sample: documents with more passages are no examples, as a label
+#: then hardly says which passage it means, and documents are taken up to so many examples.
+MAX_PASSAGES = 200
+MAX_EXAMPLES = 40_000
 #: Distinct passages a task remembers the scores of.
 REMEMBERED = 200_000
 
@@ -54,14 +63,16 @@ _ZERO_WIDTH = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
 _LOOKALIKE = str.maketrans("аеорсухіјѕһԁԛԝѵкмтвнгАЕОРСУХІЈЅНКМТВ", "aeopcyxijshdqwvkmtbhrAEOPCYXIJSHKMTB")
 _SIGNS = str.maketrans("013457@$!|", "oieastasil")
 _END = re.compile(r"(?<=[.!?…。！？])[\"”»“«'’)]*\s+|[\n\r]+|(?<=[。！？])")
-_NAME = re.compile(r"\b(?:[A-ZÀ-Þ][a-zà-ÿ]+[ -]+){2,}(?:[A-Z]?\d+[A-Za-z]*)?|\b[A-ZÀ-Þ][a-zà-ÿ]+ [A-Z]?\d+[A-Za-z]*(?: (?:Pro Max|Pro|Max|Plus|Lite|Mini|Ultra|5G|Ti SE|Ti|SE|XTX?|GT|LX))?\b|\b[A-ZÀ-Þ][a-zà-ÿ]+[ -]+[A-ZÀ-Þ][a-zà-ÿ]+\b")
-_NAMES = re.compile(r"qname(?:\s+(?:qname|Pro|Max|Plus|Lite|Mini|Ultra|5G|Ti|SE|XTX?|GT|LX)\b)+")
-_SPEAKER = re.compile(r"^(?:[-*>#•]+\s*|(?:fix|feat|chore)\s*:\s*|@?user\s?\d+\s*:?\s*|[QA]:\s*|re #\d+\s*)+", re.I)
+# A capitalised word with such words, short capitals or numbers after it; who speaks, at the start of a line: a mention,
+# a word with a colon, letters with a long number.
+_NAME = re.compile(r"\b[A-ZÀ-Þ][a-zà-ÿ]+(?:[ -]+(?:[A-ZÀ-Þ][a-zà-ÿ][\wà-ÿ]*|[A-Z]{1,3}\b|[A-Z]{0,3}\d+\w*))+")
+_NAMES = re.compile(r"qname(?:\s+qname\b)+")
+_SPEAKER = re.compile(r"^(?:[-*>#•]+\s*|@\w+\s*:?\s*|\w+(?:[ _#]?\d+)?\s*:\s+|[A-Za-z]+\d{3,}\s+)+")
 _SPACED = re.compile(r"(?<![^\W_])((?:[^\W\d_][ .\-_*]){3,}[^\W\d_])(?![^\W_])")
 _RUN = re.compile(r"(.)\1{2,}")
 _TOKEN = re.compile(r"[^\W_][\w@$!*#|'’]*[^\W_]|[^\W_]", re.UNICODE)
 _DISGUISED = re.compile(r"(?=(?:.*[a-z]){2})[a-z0-9@$!*#|'’]{3,}")
-_MEASURE = re.compile(r"[a-z]?\d+[a-z]{0,4}")
+_MEASURE = re.compile(r"[a-z]?\d+[a-z]{0,4}|[a-z]+\d{3,}")
 _NUMBER = re.compile(r"(?<![^\W_])\d+(?:[.,:]\d+)*(?![^\W_])")
 
 
@@ -140,13 +151,10 @@ class Index:
         self.row_bound = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(axis=2) if n else np.zeros((0, 0), dtype=np.float32)
         # By block, so that one block's rows are read in runs.
         self.matrix = np.ascontiguousarray(self.matrix.reshape(len(frequent), self.blocks, BLOCK).transpose(1, 0, 2))
-        #: Per rare term: examples, weights, blocks and the greatest weight in each.
-        self.postings = []
-        for t in rare:
-            ids = np.array([i for i, _ in by_term[t]], dtype=np.int32)
-            weights = np.array([w for _, w in by_term[t]], dtype=np.float32)
-            blocks, first = np.unique(ids // BLOCK, return_index=True)
-            self.postings.append((ids, weights, blocks, np.maximum.reduceat(weights, first)))
+        #: Per rare term: examples and weights.
+        self.postings = [(np.array([i for i, _ in by_term[t]], dtype=np.int32), np.array([w for _, w in by_term[t]], dtype=np.float32)) for t in rare]
+        #: Per example, where known, a labelled document in which it stands, a harmful one first.
+        self.documents: list[int | None] = [None] * len(order)
 
     def vector(self, skel: str) -> dict[str, float]:
         """Unit TF-IDF vector; words no example has count in the length."""
@@ -157,8 +165,10 @@ class Index:
     def nearest(self, skel: str, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines, exactly; ties go to the lower number.
 
-        The blocks with the greatest bounds are scored first; of the others only those
-        whose bound reaches the k-th similarity found there.
+        Postings of rare terms are summed per example, so a block's bound is the best of
+        these sums and the greatest the frequent terms can add in that block. The blocks
+        with the greatest bounds are scored first; of the others only those whose bound
+        reaches the k-th similarity found there.
         """
         v = self.vector(skel)
         rows = [(self.row[t], x) for t, x in v.items() if t in self.row]
@@ -166,28 +176,25 @@ class Index:
         n = len(self.skeletons)
         if not rows and not lists:
             return np.array([], dtype=int), np.array([])
-        row_no = np.array([r for r, _ in rows], dtype=int)
-        row_x = np.array([x for _, x in rows], dtype=np.float32)
-        bound = row_x @ self.row_bound[row_no] if rows else np.zeros(self.blocks)
+        width = self.blocks * BLOCK
         if lists:
-            list_x = [x for _, x in lists]
             found = [self.postings[i] for i, _ in lists]
-            many = np.repeat(list_x, [len(f[2]) for f in found])
-            bound = bound + np.bincount(np.concatenate([f[2] for f in found]), np.concatenate([f[3] for f in found]) * many, self.blocks)
-            ids = np.concatenate([f[0] for f in found])
-            part = np.concatenate([f[1] for f in found]) * np.repeat(list_x, [len(f[0]) for f in found])
+            part = np.concatenate([f[1] * np.float32(x) for f, (_, x) in zip(found, lists)])
+            rare = np.bincount(np.concatenate([f[0] for f in found]), part, width).reshape(self.blocks, BLOCK)
+        else:
+            rare = np.zeros((self.blocks, BLOCK))
+        bound = rare.max(axis=1)
+        row_no = np.array([r for r, _ in rows], dtype=int)
+        row_x = np.array([x for _, x in rows], dtype=np.float32)
+        if rows:
+            bound = bound + row_x @ self.row_bound[row_no]
 
         def scored(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Examples of some blocks and their cosines."""
-            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            out = np.matmul(row_x, self.matrix[blocks[:, None], row_no]).ravel() if rows else np.zeros(len(at))
-            if lists:
-                slot = np.full(self.blocks, -1)
-                slot[blocks] = np.arange(len(blocks))
-                place = slot[ids // BLOCK]
-                here = place >= 0
-                out = out + np.bincount(place[here] * BLOCK + ids[here] % BLOCK, part[here], len(at))
-            return at, out
+            out = rare[blocks]
+            if rows:
+                out = out + np.matmul(row_x, self.matrix[blocks[:, None], row_no])
+            return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), out.ravel()
 
         first = np.argpartition(-bound, HEAD)[:HEAD] if self.blocks > HEAD else np.arange(self.blocks)
         at, scores = scored(first)
@@ -204,15 +211,14 @@ class Index:
         found = found[np.lexsort((at[found], -scores[found]))[:k]]
         return at[found], scores[found].astype(float)
 
-    def weigh(self, ids: np.ndarray, sims: np.ndarray, base: float, own: np.ndarray | None = None, own_share: float = 0.0, own_weight: float = 1.0) -> tuple[float, int]:
+    def weigh(self, ids: np.ndarray, sims: np.ndarray, base: float, mine: np.ndarray | None = None, own_share: float = 0.0, own_weight: float = 1.0) -> tuple[float, int]:
         """(score, place of the best example) of neighbours.
 
-        Examples marked in ``own`` lose the document they are judged for: it does not vote
+        Neighbours marked in ``mine`` lose the document they are judged for: it does not vote
         for itself. Far neighbours fade; many documents count with a diminishing weight.
         """
         h, n = self.harmful[ids], self.total[ids]
-        if own is not None:
-            mine = own[ids]
+        if mine is not None:
             h, n = np.maximum(h - own_weight * own_share * mine, 0), np.maximum(n - own_weight * mine, 0)
         w = np.minimum(sims, 1.0) ** POWER * np.log2(1.0 + n)
         rate = (h + base * PRIOR) / (n + PRIOR)
@@ -235,113 +241,102 @@ class Model:
     threshold: float
 
 
-def training_documents(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[list[tuple[str, float]], list[str]]:
-    """Labelled texts with their share of harmful opinions, and texts without a label.
+def passage_table(documents: DataFrame) -> DataFrame:
+    """(row, doc_id, source, passages, skeletons) of every row, written once; null and empty texts have none."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, str] = {}
+        for batch in batches:
+            text, kept = batch.column("text"), [batch.column(n) for n in ("doc_id", "source")]
+            for at in range(0, batch.num_rows, 1024):  # bounds what one batch holds in Python
+                found = [passages(t) for t in text.slice(at, 1024).to_pylist()]
+                skels = []
+                for some in found:
+                    for p in some:
+                        if p not in seen:
+                            if len(seen) >= REMEMBERED:
+                                seen.clear()
+                            seen[p] = skeleton(p)
+                    skels.append([seen.get(p) or skeleton(p) for p in some])
+                strings = pa.list_(pa.string())
+                yield pa.RecordBatch.from_arrays([*[c.slice(at, 1024) for c in kept], pa.array(found, strings), pa.array(skels, strings)], ["doc_id", "source", "passages", "skeletons"])
+
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text").mapInArrow(read, "doc_id bigint, source string, passages array<string>, skeletons array<string>")
+    return cut(rows.select(F.monotonically_increasing_id().alias("row"), "*"), "content-passages")
+
+
+def training_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[list[tuple[int, frozenset[str], float]], list[frozenset[str]]]:
+    """(doc_id, skeletons, share of harmful opinions) of labelled documents, and skeletons of others.
 
     At most ``most`` documents of either label and as many without one, drawn by the hash of
-    their id. Null opinions do not count; null texts are no examples.
+    their id, none with more than MAX_PASSAGES. Null opinions do not count.
     """
     voted = labels.where("label is not null").groupBy("doc_id").agg(F.avg(F.col("label").cast("double")).alias("share"))
-    texts = documents.where("text is not null").select("doc_id", "text")
+    some = docs.where(F.size("skeletons").between(1, MAX_PASSAGES)).select("doc_id", F.array_distinct("skeletons").alias("skeletons"))
 
     def drawn(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
     chosen = drawn(voted.where("share >= 0.5")).unionByName(drawn(voted.where("share < 0.5")))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "share").collect()
+    rows = some.join(F.broadcast(chosen), "doc_id").collect()
     known = {r["doc_id"] for r in rows}
     # The draw carries ids only; the labelled among them, a few, are left out here.
-    more = texts.join(drawn(documents.where("text is not null and doc_id is not null").select("doc_id")), "doc_id").collect()
-    order = lambda r: (r["doc_id"], r["text"])
-    return [(r["text"], r["share"]) for r in sorted(rows, key=order)], [r["text"] for r in sorted(more, key=order) if r["doc_id"] not in known]
-
-
-# Examples for a start, each counted like one labelled document.
-HARMFUL_SEEDS = (
-    "You are an idiot.", "You are a stupid moron.", "You stupid asshole.", "Shut up, you dumb bastard.", "Shut your mouth, you filthy pig.", "What a pathetic loser you are.",
-    "Only an idiot like you would buy this.", "Go to hell, you scumbag.", "Fuck you.", "Fuck off, you piece of shit.", "Nobody likes you, loser.", "People like you are worthless.",
-    "I hope you die.", "Kill yourself.", "I will kill you.", "I will find you and break your legs.", "I know where you live.", "You deserve to be beaten.", "The author is a disgusting moron.",
-    "Immigrants are vermin.", "Foreigners are parasites and should be thrown out.", "Refugees are animals.", "Women are too stupid for this.", "Gay people make me sick.", "Those people are less than human.",
-    "Hot naked women on webcam.", "Free porn videos, click here.", "Horny girls near you.", "Send me nudes.", "I want to fuck you.", "She sucked his cock.", "He came inside her.",
-    "Du bist ein Idiot.", "Du bist ein Arschloch.", "Halt die Fresse, du Wichser.", "Halt dein Maul, du Versager.", "Ich weiß, wo du wohnst.", "Ich bringe dich um.", "Ausländer sind Ungeziefer.", "Frauen sind zu dumm.", "Geile nackte Frauen ficken.", "Schick mir Nacktbilder.",
-    "Tu es un idiot.", "Tu es un connard.", "Ferme ta gueule, connard.", "Va te faire foutre.", "Je vais te casser la gueule.", "Je sais où tu habites.", "Les étrangers sont des parasites.", "Les femmes sont trop bêtes.", "Femmes nues qui baisent en direct.", "Envoie-moi des photos nue.",
-    "Eres un idiota.", "Eres un cabrón.", "Cállate, imbécil.", "Vete a la mierda, gilipollas.", "Te voy a romper la cara.", "Sé dónde vives.", "Los inmigrantes son parásitos.", "Las mujeres son tontas.", "Mujeres desnudas follando.", "Mándame fotos desnuda.",
-    "Ты идиот.", "Заткнись, урод.", "Я тебя убью.", "Голые женщины на камеру.",
-)
-HARMLESS_SEEDS = (
-    "I am such an idiot, I forgot the charger.", "I felt stupid after reading the manual.", "What a shitty battery.", "This phone is garbage.", "The damn screen broke again.", "Setup is idiot-proof.", "The master clock drives the slave clock.",
-    "Kill the process and restart.", "Shut up and take my money.", "The parental filter blocks adult content.", "Hate speech is not allowed here.", "The camera shoots 60 frames.", "Women preferred the smaller model.", "Immigrants founded the company.",
-    "Der verdammte Akku ist leer.", "Cette foutue batterie est morte.", "La maldita batería se murió.", "Ich Idiot habe das Kabel vergessen.",
-)
-
-
-def skeletons_of(text: str) -> frozenset[str]:
-    return frozenset(s for s in map(skeleton, passages(text)) if s)
-
-
-def seed_sets() -> list[tuple[frozenset[str], float]]:
-    return [(skeletons_of(t), 1.0) for t in HARMFUL_SEEDS] + [(skeletons_of(t), 0.0) for t in HARMLESS_SEEDS]
+    more = some.join(drawn(some.where("doc_id is not null").select("doc_id").distinct()), "doc_id").collect()
+    skels = lambda r: frozenset(s for s in r["skeletons"] if s)
+    order = lambda r: (r["doc_id"], r["skeletons"])
+    return [(r["doc_id"], skels(r), r["share"]) for r in sorted(rows, key=order) if skels(r)], [skels(r) for r in sorted(more, key=order) if r["doc_id"] not in known and skels(r)]
+
+
+def bounded(labelled: list, unlabelled: list, most: int = MAX_EXAMPLES) -> tuple[list, list]:
+    """The documents, harmful ones first and then of either kind in turn, that fit into ``most`` examples."""
+    harmful, rest = [x for x in labelled if x[2] >= 0.5], [x for x in labelled if x[2] < 0.5]
+    turns = [("l", x, x[1]) for x in harmful]
+    for i in range(max(len(rest), len(unlabelled))):
+        turns += [("l", x, x[1]) for x in rest[i : i + 1]] + [("u", x, x) for x in unlabelled[i : i + 1]]
+    examples: set[str] = set()
+    out: dict[str, list] = {"l": [], "u": []}
+    for kind, x, skels in turns:
+        if len(examples | skels) > most:
+            break
+        examples |= skels
+        out[kind].append(x)
+    return out["l"], out["u"]
 
 
-def document_frequencies(documents: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str, int], int]:
-    """In how many documents each term of the vocabulary stands, over all documents.
+def term_frequencies(distinct: DataFrame, vocabulary: frozenset[str]) -> tuple[dict[str, int], int]:
+    """In how many passages each term of the vocabulary stands, over the whole corpus.
 
-    Each task counts the vocabulary's terms, so what is shuffled and collected is bounded
-    by the vocabulary.
+    ``distinct`` has (skeleton, n). Each task counts the vocabulary's terms, so what is
+    shuffled and collected is bounded by the vocabulary, and that by the training sample.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = distinct.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c: Counter = Counter()
-        seen: dict[str, tuple[str, ...]] = {}
-        n = 0
-        vocab = shared.value
+        total, vocab = 0, shared.value
         for pdf in batches:
-            for text in pdf["text"]:
-                n += 1
-                found: set[str] = set()
-                for p in passages(text):
-                    t = seen.get(p)
-                    if t is None:
-                        t = tuple(x for x in set(terms(skeleton(p))) if x in vocab)
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        seen[p] = t
-                    found.update(t)
-                c.update(found)
-        yield pd.DataFrame({"term": ["", *c.keys()], "n": [n, *c.values()]})
-
-    rows = documents.where("text is not null").select("text").mapInPandas(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+            for skel, n in zip(pdf["skeleton"], pdf["n"]):
+                total += n
+                for t in vocab.intersection(terms(skel)):
+                    c[t] += n
+        yield pd.DataFrame({"term": ["", *c.keys()], "n": [total, *c.values()]})
+
+    rows = distinct.mapInPandas(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counted = {r["term"]: r["n"] for r in rows}
     total = counted.pop("", 0)
     return counted, total
 
 
-def score_document(text: str | None, index: Index, base: float, memory: dict[str, tuple[float, int]]) -> tuple[float, str, str]:
-    """(raw score, passage, nearest example) of the worst passage; 0 without passages."""
-    best = (0.0, "", "")
-    for p in passages(text):
-        s = skeleton(p)
-        if not s:
-            continue
-        v = memory.get(s)
-        if v is None:
-            v = index.vote(s, base)
-            if len(memory) >= REMEMBERED:
-                memory.clear()
-            memory[s] = v
-        if v[0] > best[0]:
-            best = (v[0], p, index.skeletons[v[1]] if v[1] >= 0 else "")
-    return best
-
-
 def calibrate(points: list[tuple[float, float, float]]) -> tuple[list[tuple[float, float]], float]:
-    """Isotonic curve over (score, label share, weight), and the raw threshold with the best F1."""
-    from specloom.llm.entity_match import isotonic
-
+    """Calibration curve over (score, label share, weight), and the raw threshold with the best F1."""
     if not points:
-        return [], 0.5
-    curve = isotonic([(round(x, 3), float(y * w), float(w)) for x, y, w in points])
+        return [(0.0, 0.0)], 0.5
+    binned: dict[float, list[float]] = {}
+    for x, y, w in points:
+        b = binned.setdefault(round(x, 3), [0.0, 0.0])
+        b[0] += y * w
+        b[1] += w
+    curve = curve_points([(x, p, n) for x, (p, n) in binned.items()])
     truth = sum(w for _, y, w in points if y >= 0.5)
     hit = said = 0.0
     best, threshold = -1.0, 0.5
@@ -358,17 +353,7 @@ def calibrate(points: list[tuple[float, float, float]]) -> tuple[list[tuple[floa
     return curve, threshold
 
 
-def probability(curve: list[tuple[float, float]], raw: float) -> float:
-    out = curve[0][1] if curve else raw
-    for x, y in curve:
-        if raw >= x:
-            out = y
-        else:
-            break
-    return out
-
-
-def train(labelled: list[tuple[frozenset[str], float]], unlabelled: list[frozenset[str]], idf: dict[str, float], default_idf: float, rounds: int = ROUNDS) -> Model:
+def train(labelled: list[tuple[int, frozenset[str], float]], unlabelled: list[frozenset[str]], idf: dict[str, float], default_idf: float, rounds: int = ROUNDS) -> Model:
     """The model of passages of labelled and unlabelled documents.
 
     Labelled samples hold more harm than the corpus, and few of them leave it open which of
@@ -376,78 +361,86 @@ def train(labelled: list[tuple[frozenset[str], float]], unlabelled: list[frozens
     small share, so a passage that is common everywhere votes harmless, and in each round
     they take the side the last round put them on.
     """
-    every = [s for s, _ in labelled] + unlabelled + [s for s, _ in seed_sets()]
-    share = np.array([y for _, y in labelled] + [START] * len(unlabelled) + [y for _, y in seed_sets()])
-    weight = np.array([1.0] * len(labelled) + [UNLABELLED] * len(unlabelled) + [1.0] * len(seed_sets()))
+    every = [s for _, s, _ in labelled] + unlabelled
+    share = np.array([y for _, _, y in labelled] + [START] * len(unlabelled))
+    weight = np.array([1.0] * len(labelled) + [UNLABELLED] * len(unlabelled))
     index = Index(Examples(sorted(set().union(*every))), idf, default_idf)
     place = {s: i for i, s in enumerate(index.skeletons)}
     where = [np.array(sorted(place[s] for s in skels), dtype=int) for skels in every]
+    for (doc, skels, _), at in sorted(zip(labelled, where), key=lambda x: x[0][2]):
+        for i in at:
+            index.documents[i] = doc
     near = [index.nearest(s) for s in index.skeletons]
-    first, last = len(labelled), len(labelled) + len(unlabelled)
-    curve, threshold, base = [], 0.5, START
-    for turn in range(rounds):
-        harmful, total = np.zeros(len(place)), np.zeros(len(place))
-        for i, y, w in zip(where, share, weight):
-            harmful[i] += w * y
-            total[i] += w
-        index.harmful, index.total = harmful, total
+    # Which neighbours of a document's passages are its own.
+    mine = [[np.isin(near[i][0], at) for i in at] for at in where]
+    first, last = len(labelled), len(every)
+    curve, threshold, base = [(0.0, 0.0)], 0.5, START
+    for _ in range(rounds):
+        index.harmful, index.total = np.zeros(len(place)), np.zeros(len(place))
+        for at, y, w in zip(where, share, weight):
+            index.harmful[at] += w * y
+            index.total[at] += w
         base = float(share[first:last].mean()) if last > first else float(share[:first].mean())
-        raw = np.zeros(last)
-        for d in range(last):
-            own = np.zeros(len(place), dtype=bool)
-            own[where[d]] = True
-            raw[d] = max((index.weigh(*near[i], base, own, share[d], weight[d])[0] for i in where[d]), default=0.0)
+        raw = np.array([max((index.weigh(*near[i], base, m, share[d], weight[d])[0] for i, m in zip(where[d], mine[d])), default=0.0) for d in range(last)])
         given = share[:first]
         # The labelled sample counted as the corpus would: harm at the base rate.
         up, down = base / max(given.mean(), 1e-9), (1 - base) / max(1 - given.mean(), 1e-9)
-        points = [(float(x), float(y), up if y >= 0.5 else down) for x, y in zip(raw[:first], given)]
-        curve, threshold = calibrate(points)
+        curve, threshold = calibrate([(float(x), float(y), up if y >= 0.5 else down) for x, y in zip(raw[:first], given)])
         share[first:last] = [1.0 if x >= threshold else START for x in raw[first:last]]
     return Model(index, base, curve, threshold)
 
 
-def fit(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model | None:
-    """The model of a corpus and its labels; None without any labelled text."""
-    labelled, unlabelled = training_documents(documents, labels, most)
-    known = [(skeletons_of(t), y) for t, y in labelled]
-    if not any(s for s, _ in known):
+def fit(docs: DataFrame, distinct: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model | None:
+    """The model of a corpus (as ``passage_table`` has it) and its labels; None without any labelled passage."""
+    labelled, unlabelled = bounded(*training_documents(docs, labels, most))
+    if not labelled:
         return None
-    more = [skeletons_of(t) for t in unlabelled]
-    vocabulary = frozenset(t for s in set().union(*[s for s, _ in known], *more, *[s for s, _ in seed_sets()]) for t in terms(s))
-    df, n = document_frequencies(documents, vocabulary)
-    return train(known, more, {t: math.log((n + 1) / (c + 0.5)) for t, c in df.items()}, math.log((n + 1) / 0.5))
+    vocabulary = frozenset(t for s in set().union(*[s for _, s, _ in labelled], *unlabelled) for t in terms(s))
+    df, n = term_frequencies(distinct, vocabulary)
+    return train(labelled, unlabelled, {t: math.log((n + 1) / (c + 0.5)) for t, c in df.items()}, math.log((n + 1) / 0.5))
 
 
 def score_corpus(documents: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, source, score, harmful, passage, evidence) of every document.
-
-    ``score`` is a calibrated probability, ``passage`` the worst passage and ``evidence``
-    the nearest labelled example. Null and empty texts have score 0; without labels every
-    score is 0. The fit is a bounded sample of the labels; search and counts run over all.
+    """(doc_id, source, score, harmful, passage, evidence, evidence_doc_id) of every document.
+
+    ``score`` is a calibrated probability, ``passage`` the worst passage, ``evidence`` the
+    example that speaks most for it and ``evidence_doc_id`` a labelled document with it
+    (null for an example of unlabelled ones). Null and empty texts have score 0; without
+    labels every score is 0. The fit is a bounded sample of the labels; counts and search
+    run over all. Distinct passages are scored, so a passage in a third of all documents is
+    one search, and documents take the worst of their passages.
     """
-    docs = documents.select("doc_id", "source", "text")
-    model = fit(documents, labels, most)
-    schema = "doc_id bigint, source string, score double, harmful boolean, passage string, evidence string"
+    c = F.col
+    docs = passage_table(documents)
+    parts = docs.select("row", F.posexplode("skeletons").alias("pos", "skeleton")).where("skeleton <> ''")
+    distinct = cut(parts.groupBy("skeleton").agg(F.count(F.lit(1)).alias("n")), "content-skeletons")
+    model = fit(docs, distinct, labels, most)
     if model is None:
-        return docs.select("doc_id", "source", F.lit(0.0).alias("score"), F.lit(False).alias("harmful"), F.lit("").alias("passage"), F.lit("").alias("evidence"))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+        return docs.select("doc_id", "source", F.lit(0.0).alias("score"), F.lit(False).alias("harmful"), F.lit("").alias("passage"), F.lit("").alias("evidence"), F.lit(None).cast("bigint").alias("evidence_doc_id"))
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(model)  # at most MAX_EXAMPLES examples
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, memory = shared.value, {}
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
         for pdf in batches:
-            found = [score_document(t, m.index, m.base, memory) for t in pdf["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": pdf["doc_id"],
-                    "source": pdf["source"],
-                    "score": [probability(m.curve, x[0]) if x[1] else 0.0 for x in found],
-                    "harmful": [bool(x[1]) and x[0] >= m.threshold for x in found],
-                    "passage": [x[1] for x in found],
-                    "evidence": [x[2] for x in found],
-                }
-            )
-
-    return docs.mapInPandas(score, schema)
+            found = [m.index.vote(s, m.base) for s in pdf["skeleton"]]
+            yield pd.DataFrame({"key": pdf["key"], "raw": [x for x, _ in found], "example": [i for _, i in found]})
+
+    votes = distinct.select(F.xxhash64("skeleton").alias("key"), "skeleton").repartition(spark.sparkContext.defaultParallelism * 2, "key").mapInPandas(vote, "key bigint, raw double, example int")
+    # The worst passage, the first of equals. The vector's key stands for the passage's text.
+    worst = parts.select("row", "pos", F.xxhash64("skeleton").alias("key")).join(votes, "key").groupBy("row").agg(F.max(F.struct("raw", -c("pos"), "example")).alias("w"))
+    worst = worst.select("row", c("w.raw").alias("raw"), (-c("w.col2")).alias("pos"), c("w.example").alias("example"))
+    examples = spark.createDataFrame([(i, s, d) for i, (s, d) in enumerate(zip(model.index.skeletons, model.index.documents))], "example int, evidence string, evidence_doc_id bigint")
+    scored = docs.join(worst, "row", "left").join(F.broadcast(examples), "example", "left")  # at most MAX_EXAMPLES rows
+    return scored.select(
+        "doc_id",
+        "source",
+        F.when(c("raw").isNotNull(), F.round(confidence(c("raw"), model.curve), 6)).otherwise(F.lit(0.0)).alias("score"),
+        F.coalesce(c("raw") >= model.threshold, F.lit(False)).alias("harmful"),
+        F.coalesce(F.get("passages", c("pos")), F.lit("")).alias("passage"),
+        F.coalesce("evidence", F.lit("")).alias("evidence"),
+        "evidence_doc_id",
+    )
 
 
 def rates(scored: DataFrame) -> DataFrame:

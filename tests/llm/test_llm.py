@@ -317,6 +317,9 @@ def test_content(spark):
     by = {r["doc_id"]: r for r in rows}
     assert by[900]["score"] == by[901]["score"] == 0.0 and not by[902]["harmful"]
     assert {r["source"]: r["documents"] for r in content.rates(out).collect()} == {s: sum(x[2] == s for x in docs) for s in ("a", "b", None)}
+    flagged = [r for r in rows if r["harmful"]]
+    assert {r["evidence_doc_id"] for r in flagged if r["evidence_doc_id"] is not None} <= {i for i, _ in labels} and any(r["evidence_doc_id"] is not None for r in flagged)
+    assert all(r["passage"] and r["evidence"] for r in flagged)
     assert content.score_corpus(d, lab.limit(0)).where("harmful or score > 0").count() == 0
     assert content.score_corpus(d.limit(0), lab).count() == 0
 
@@ -398,3 +401,21 @@ def test_blocking_loses_no_true_pair(spark):
     k = incremental_dedup.key_rows(rows)
     met = k.alias("x").join(k.alias("y"), ["key", "check"]).where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     assert pairs.count() > 50 and pairs.join(met, ["a", "b"], "left_anti").count() == 0
+
+
+def test_content_on_held_out_labels(spark):
+    """Fitted on the labels of every other document, held against the unanimous opinions on the rest."""
+    d = "/root/testdata/sf0.1/"
+    labels = spark.read.parquet(d + "content_labels.parquet")
+    out = content.score_corpus(spark.read.parquet(d + "documents.parquet"), labels.where("doc_id % 2 = 0"))
+    held = labels.where("doc_id % 2 = 1").groupBy("doc_id").agg(F.avg("label").alias("y"), F.count("*").alias("n")).where("n >= 2 and y in (0, 1)")
+    rows = out.join(held, "doc_id").select("harmful", "y", "score").collect()
+    hit = sum(r["harmful"] and r["y"] == 1 for r in rows)
+    assert len(rows) > 100 and hit / sum(r["y"] == 1 for r in rows) >= 0.9 and hit / sum(r["harmful"] for r in rows) >= 0.9
+
+
+def test_the_training_sample_is_bounded():
+    """Harmful documents come first, the others in turn, whole documents only."""
+    labelled = [(i, frozenset({f"l{i}", "x"}), float(i % 3 == 0)) for i in range(30)]
+    kept, more = content.bounded(labelled, [frozenset({f"u{i}"}) for i in range(30)], 16)
+    assert [i for i, _, y in kept if y] == list(range(0, 30, 3)) and len(set().union(*[s for _, s, _ in kept], *more)) <= 16 and kept and more
