@@ -10,28 +10,30 @@ from specloom.sources.tables import counting_rows, table
 from specloom.streaming.compactor import compact
 
 
-def _references(spark: SparkSession, d: str) -> DataFrame:
-    phones, cpus = table(spark, d, "smartphones"), table(spark, d, "cpus")
-    return orphans.reference_counts(
+def _orphan_state(spark: SparkSession, d: str, path: str | None = None) -> orphans.OrphanState:
+    c = F.col
+    state = orphans.OrphanState(spark, path)
+    state.apply(
         [
-            orphans.Reference("smartphones", "soc_id", "socs", phones, orphans.id_key(F.col("soc_id"))),
-            orphans.Reference("smartphones", "brand_id", "brands", phones, orphans.id_key(F.col("brand_id"))),
-            orphans.Reference("cpus", "manufacturer", "brand_slugs", cpus, orphans.slug_key(F.col("manufacturer.slug"))),
+            orphans.Source("smartphones", table(spark, d, "smartphones"), {"soc_id": ("socs", orphans.id_key(c("soc_id"))), "brand_id": ("brands", orphans.id_key(c("brand_id")))}),
+            orphans.Source("cpus", table(spark, d, "cpus"), {"manufacturer": ("brand_slugs", orphans.slug_key(c("manufacturer.slug")))}),
+            orphans.Source("socs", table(spark, d, "socs"), {}, {"socs": orphans.id_key(c("id"))}, c("deleted_at").isNull()),
+            orphans.Source("brands", table(spark, d, "brands"), {}, {"brands": orphans.id_key(c("id")), "brand_slugs": orphans.slug_key(c("slug"))}, c("deleted_at").isNull()),
         ]
     )
-
-
-def _existence(spark: SparkSession, d: str) -> DataFrame:
-    socs, brands = table(spark, d, "socs"), table(spark, d, "brands")
-    return orphans.existence_counts({"socs": (socs, orphans.id_key(F.col("id"))), "brands": (brands, orphans.id_key(F.col("id"))), "brand_slugs": (brands, orphans.slug_key(F.col("slug")))})
+    return state
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphans(_references(spark, d), _existence(spark, d)).select("ref_table", "ref_field", "row_id")
+    return _orphan_state(spark, d).orphans().select("ref_table", "ref_field", "row_id")
 
 
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphan_report(_references(spark, d), _existence(spark, d))
+    return _orphan_state(spark, d).report()
+
+
+def p3_missing_keys(spark: SparkSession, d: str) -> DataFrame:
+    return _orphan_state(spark, d).missing_keys()
 
 
 def _flat(spark: SparkSession, d: str) -> DataFrame:
@@ -81,6 +83,7 @@ def p6_records(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_report": p3_report,
+    "p3_missing_keys": p3_missing_keys,
     "p4_found": p4_found,
     "p4_variants": p4_variants,
     **{f"p4_{child}": _typed(child) for child in nested.TYPED},
@@ -115,4 +118,5 @@ tgt AS (
 ORACLE = {
     "p3_found": _P3 + "SELECT ref_table, ref_field, row_id FROM orphan",
     "p3_report": _P3 + "SELECT ref_table, ref_field, strftime(created_at, '%Y-%m') AS month, count(*) AS orphans, count(DISTINCT key) AS missing_keys FROM orphan GROUP BY 1, 2, 3",
+    "p3_missing_keys": _P3 + "SELECT ref_table, ref_field, key, count(*) AS n FROM ref WHERE key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.target = ref.target AND tgt.key = ref.key) GROUP BY 1, 2, 3",
 }

@@ -17,19 +17,56 @@ def test_counting_rows(spark):
     assert sorted(map(tuple, counting_rows(df).collect())) == [(1, 2, "b"), (2, None, "c")]
 
 
+def _state(spark, refs, brands, path=None):
+    state = orphans.OrphanState(spark, path)
+    state.apply([
+        orphans.Source("r", refs, {"brand_id": ("brands", orphans.id_key(F.col("brand_id")))}),
+        orphans.Source("b", brands, {}, {"brands": orphans.id_key(F.col("id"))}, F.col("deleted_at").isNull()),
+    ])
+    return state
+
+
+def _orphans(state):
+    return sorted(r["row_id"] for r in state.orphans().collect())
+
+
 def test_orphans_edges(spark):
     t = lambda s: f"timestamp_ntz'2024-01-{s} 00:00:00'"
     brands = spark.sql(f"select * from values (1L, 'one', {t('02')}, {t('02')}, cast(null as timestamp_ntz)), (2L, 'two', {t('02')}, {t('02')}, null), (2L, 'two', {t('02')}, {t('05')}, {t('05')}) as b(id, slug, created_at, updated_at, deleted_at)")
-    refs = spark.sql(f"select * from values (10L, 1L, {t('03')}, {t('03')}), (11L, 1L, {t('01')}, {t('03')}), (12L, 2L, {t('03')}, {t('03')}), (13L, 0L, {t('03')}, {t('03')}), (14L, cast(null as bigint), {t('03')}, {t('03')}), (15L, -1L, {t('03')}, {t('03')}), (15L, 1L, {t('03')}, {t('04')}), (13L, 0L, {t('03')}, {t('03')}) as r(id, brand_id, created_at, updated_at)").withColumn("key", F.lit("clash"))
-    counts = orphans.reference_counts([orphans.Reference("r", "brand_id", "brands", refs, orphans.id_key(F.col("brand_id")))])
-    exist = orphans.existence_counts({"brands": (brands, orphans.id_key(F.col("id")))})
-    assert sorted(r["row_id"] for r in orphans.orphans(counts, exist).collect()) == [11, 12, 13]
-    assert orphans.orphans(counts.limit(0), exist).count() == 0
-    assert sorted(r["row_id"] for r in orphans.orphans(counts, exist.limit(0)).collect()) == [10, 11, 12, 13, 15]
-    # deltas merge into counts by addition
-    whole = orphans.net(orphans.version_deltas(refs, orphans.id_key(F.col("brand_id"))), "row_id", "key", "at")
-    taken = orphans.merge(whole, whole.withColumn("n", -F.col("n")))
-    assert taken.count() == 0
+    refs = spark.sql(f"select * from values (10L, 1L, {t('03')}, {t('03')}), (11L, 1L, {t('01')}, {t('03')}), (12L, 2L, {t('03')}, {t('03')}), (13L, 0L, {t('03')}, {t('03')}), (14L, cast(null as bigint), {t('03')}, {t('03')}), (15L, -1L, {t('03')}, {t('03')}), (15L, 1L, {t('03')}, {t('04')}), (13L, 0L, {t('03')}, {t('03')}), (cast(null as bigint), 0L, {t('03')}, {t('03')}) as r(id, brand_id, created_at, updated_at)").withColumn("key", F.lit("clash"))
+    whole = _state(spark, refs, brands)
+    assert _orphans(whole) == [11, 12, 13]
+    assert sorted(tuple(r) for r in whole.report().collect()) == [("r", "brand_id", "2024-01", 3, 3)] and sorted(tuple(r) for r in whole.missing_keys().collect()) == [("r", "brand_id", "0", 1), ("r", "brand_id", "2", 1)]
+    assert _orphans(_state(spark, refs.limit(0), brands)) == []
+    assert _orphans(_state(spark, refs, brands.limit(0))) == [10, 11, 12, 13, 15]
+
+
+def test_orphan_counts_are_kept_up_over_turns(spark, tmp_path):
+    """Late, repeated and out-of-order versions, withdrawals and late targets, each turn by a state opened anew."""
+    import random
+
+    rnd = random.Random(3)
+    day = lambda n: f"timestamp_ntz'2024-01-{n:02d} 00:00:00'"
+    null = "cast(null as timestamp_ntz)"
+    refs = [(rnd.randint(1, 25), rnd.randint(0, 9), rnd.randint(1, 28), rnd.randint(1, 28)) for _ in range(120)]
+    brands = [(rnd.randint(0, 9), rnd.randint(1, 28), rnd.randint(1, 28), rnd.random() < 0.3) for _ in range(30)]
+    # One version has one content, as tables give it.
+    refs, brands = list({(r[0], r[3]): r for r in refs}.values()), list({(b[0], b[2]): b for b in brands}.values())
+    of_refs = lambda rows: spark.sql("select * from values " + ", ".join(f"({i}L, {b}L, {day(c)}, {day(u)})" for i, b, c, u in rows) + " as r(id, brand_id, created_at, updated_at)")
+    of_brands = lambda rows: spark.sql("select * from values " + ", ".join(f"({i}L, {day(c)}, {day(u)}, {day(u) if gone else null})" for i, c, u, gone in rows) + " as b(id, created_at, updated_at, deleted_at)")
+    path = f"file://{tmp_path}/state"
+    for i in range(3):
+        state = _state(spark, of_refs(refs[i::3] + refs[:5]), of_brands(brands[i::3]), path)
+    assert orphans.OrphanState(spark, path).turns == 3
+    last_ref, last_brand = {}, {}
+    for r in sorted(refs, key=lambda r: r[3]):
+        last_ref[r[0]] = r
+    for b in sorted(brands, key=lambda b: b[2]):
+        last_brand[b[0]] = b
+    want = sorted(i for i, b, c, _ in last_ref.values() if not (b in last_brand and not last_brand[b][3] and last_brand[b][1] <= c))
+    assert _orphans(state) == want and want
+    assert state.report().agg(F.sum("orphans")).first()[0] == len(want)
+    assert state.counts().where("ref_field is not null").agg(F.sum("n")).first()[0] == len(last_ref)
 
 
 def test_nested_shapes(spark):
