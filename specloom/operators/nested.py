@@ -4,9 +4,14 @@ A tree automaton reads each value bottom-up and gives it a state: ``null``, ``sc
 ``record`` (an object that is one entry), ``map`` (an object whose values are entries)
 or ``list``. Texts that hold JSON take the state of what they hold. The productions of
 each root route a value's entries to child tables; entries keep the position in which
-they are written, their parent and the shape variant they came in. Every variant shares
-the supertype keys (owner, child, pos, sub_pos); ``typed_table`` gives the subtype
-columns of one child.
+they are written, their parent, the way they were held (``variant``) and their
+``subtype``: the keys whose values are no scalars, with their states. Every subtype shares
+the supertype keys (owner, child, pos, sub_pos, parent); ``subtype_table`` has the columns
+of its own shape only, ``write_subtypes`` routes all entries to one table a subtype.
+
+Positions follow the order in which objects are written. Spark's variant type sorts the
+keys of an object, so the walk is Python, in Arrow batches, once per owner; bodies are
+written out only where a table needs them, and only of the children asked for.
 """
 
 from __future__ import annotations
@@ -18,8 +23,9 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-ENTRY_SCHEMA = "owner_table string, owner_id bigint, child string, pos int, sub_pos int, parent string, variant string, body string"
+ENTRY_SCHEMA = "owner_table string, owner_id bigint, child string, pos int, sub_pos int, parent string, variant string, subtype string, body string"
 
 
 @dataclass(frozen=True)
@@ -134,35 +140,61 @@ def children(text: str | None, rule: Production) -> Iterator[tuple[str, int, int
             pos += 1
 
 
-def flatten(rows: DataFrame, owner_table: str, columns: dict[str, Production], id_col: str = "id") -> DataFrame:
+def subtype(entry: dict) -> str:
+    """The keys of an entry that hold more than a scalar, with their states; "flat" without any."""
+    parts = [f"{k}:{kind}" for k, kind in sorted((k, state(opened(v), frozenset())) for k, v in entry.items()) if kind in ("list", "map", "record")]
+    return "+".join(parts) or "flat"
+
+
+def flatten(rows: DataFrame, owner_table: str, columns: dict[str, Production], id_col: str = "id", only: str | None = None, bodies: bool = True) -> DataFrame:
     """Child rows of the JSON columns of ``rows`` (one row per owner).
 
     Null, blank and broken JSON and JSON of another kind give no row. ``pos`` counts the
-    entries of a kind over the whole owner, ``sub_pos`` those of a parent, else -1.
+    entries of a kind over the whole owner, ``sub_pos`` those of a parent, else -1. With
+    ``only`` one child is read, and other columns are not touched; without ``bodies`` body
+    is null.
     """
+    columns = {n: rule for n, rule in columns.items() if only in (None, rule.child, rule.sub)}
     names = list(columns)
+    if not names:
+        return rows.sparkSession.createDataFrame([], ENTRY_SCHEMA)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for owner, *texts in pdf[["owner_id", *names]].itertuples(index=False, name=None):
                 for name, text in zip(names, texts):
-                    if text is not None:
-                        out += [(owner_table, owner, child, pos, sub, parent, f"{name}.{variant}", json.dumps(body, ensure_ascii=False)) for child, pos, sub, parent, variant, body in children(text, columns[name])]
-            yield pd.DataFrame(out, columns=["owner_table", "owner_id", "child", "pos", "sub_pos", "parent", "variant", "body"])
+                    if text is None:
+                        continue
+                    for child, pos, sub, parent, variant, body in children(text, columns[name]):
+                        if only is None or child == only:
+                            out.append((owner_table, owner, child, pos, sub, parent, f"{name}.{variant}", subtype(body), json.dumps(body, ensure_ascii=False) if bodies else None))
+            yield pd.DataFrame(out, columns=["owner_table", "owner_id", "child", "pos", "sub_pos", "parent", "variant", "subtype", "body"])
 
     return rows.select(F.col(id_col).cast("bigint").alias("owner_id"), *names).mapInPandas(read, ENTRY_SCHEMA)
 
 
 def typed_table(flat: DataFrame, child: str) -> DataFrame:
-    """The subtype table of one child: supertype keys, parent link and typed columns.
+    """The table of one child over all its subtypes: supertype keys, parent link and typed columns.
 
     A value of another type than the column's is null; the body keeps it.
     """
     parsed = flat.where(F.col("child") == child).withColumn("_b", F.from_json("body", TYPED[child]))
-    return parsed.select("owner_table", "owner_id", "pos", "sub_pos", "parent", "variant", "_b.*", "body")
+    return parsed.select("owner_table", "owner_id", "pos", "sub_pos", "parent", "variant", "subtype", "_b.*", "body")
+
+
+def subtype_table(flat: DataFrame, child: str, shape: str) -> DataFrame:
+    """One subtype of a child: the supertype keys, its scalar columns and those of its own nested keys."""
+    held = {part.split(":")[0] for part in shape.split("+")} if shape != "flat" else set()
+    columns = [f.name for f in StructType.fromDDL(TYPED[child]).fields if not isinstance(f.dataType, (StructType, ArrayType)) or f.name in held]
+    return typed_table(flat.where(F.col("subtype") == shape), child).select("owner_table", "owner_id", "pos", "sub_pos", "parent", *columns)
+
+
+def write_subtypes(flat: DataFrame, path: str) -> None:
+    """All entries routed to one folder per child and subtype."""
+    flat.hint("rebalance", "child", "subtype").write.mode("overwrite").partitionBy("child", "subtype").parquet(path)
 
 
 def variants(flat: DataFrame) -> DataFrame:
-    """How many entries of each child came in each shape."""
-    return flat.groupBy("owner_table", "child", "variant").agg(F.count(F.lit(1)).alias("n"))
+    """How many entries of each child came in each way and shape."""
+    return flat.groupBy("owner_table", "child", "variant", "subtype").agg(F.count(F.lit(1)).alias("n"))

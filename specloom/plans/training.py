@@ -36,22 +36,31 @@ def p3_missing_keys(spark: SparkSession, d: str) -> DataFrame:
     return _orphan_state(spark, d).missing_keys()
 
 
-def _flat(spark: SparkSession, d: str) -> DataFrame:
-    devices = counting_rows(table(spark, d, "mobile_devices"), "id", "updated_at", "cameras", "display", "connectivity")
-    socs = counting_rows(table(spark, d, "socs"), "id", "updated_at", "cpu_config")
-    return nested.flatten(devices, "mobile_devices", {"cameras": nested.CAMERAS, "display": nested.PANELS, "connectivity": nested.BANDS}).unionByName(nested.flatten(socs, "socs", {"cpu_config": nested.CLUSTERS}))
+def _flat(spark: SparkSession, d: str, only: str | None = None, bodies: bool = True) -> DataFrame:
+    wanted = lambda rules: {n: r for n, r in rules.items() if only in (None, r.child, r.sub)}
+    out = None
+    for name, rules in (("mobile_devices", wanted({"cameras": nested.CAMERAS, "display": nested.PANELS, "connectivity": nested.BANDS})), ("socs", wanted({"cpu_config": nested.CLUSTERS}))):
+        if rules:
+            one = nested.flatten(counting_rows(table(spark, d, name), "id", "updated_at", *rules), name, rules, only=only, bodies=bodies)
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _flat(spark, d).select("owner_table", "owner_id", "child", "pos", "sub_pos")
+    return _flat(spark, d, bodies=False).select("owner_table", "owner_id", "child", "pos", "sub_pos")
 
 
 def p4_variants(spark: SparkSession, d: str) -> DataFrame:
-    return nested.variants(_flat(spark, d))
+    return nested.variants(_flat(spark, d, bodies=False))
 
 
 def _typed(child: str):
-    return lambda spark, d: nested.typed_table(_flat(spark, d), child)
+    return lambda spark, d: nested.typed_table(_flat(spark, d, child), child)
+
+
+def p4_camera_with_video(spark: SparkSession, d: str) -> DataFrame:
+    """One subtype of cameras: those that hold a sensor and a video record."""
+    return nested.subtype_table(_flat(spark, d, "camera"), "camera", "sensor:record+video:record")
 
 
 def _values(spark: SparkSession, d: str) -> DataFrame:
@@ -87,6 +96,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_variants": p4_variants,
     **{f"p4_{child}": _typed(child) for child in nested.TYPED},
+    "p4_camera_with_video": p4_camera_with_video,
     "p5_found": p5_found,
     "p5_values": p5_values,
     "p6_found": p6_found,

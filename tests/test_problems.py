@@ -69,7 +69,7 @@ def test_orphan_counts_are_kept_up_over_turns(spark, tmp_path):
     assert state.counts().where("ref_field is not null").agg(F.sum("n")).first()[0] == len(last_ref)
 
 
-def test_nested_shapes(spark):
+def test_nested_shapes(spark, tmp_path):
     cam = {"type": "main", "mp": 5, "modes": [{"res": "1080p", "fps": [30]}, None, {}, {"res": "720p"}]}
     rows = [
         (1, json.dumps([cam, None, {}, {"type": "selfie"}])),
@@ -90,6 +90,14 @@ def test_nested_shapes(spark):
     }
     shown = nested.typed_table(nested.flatten(df, "d", {"cameras": nested.CAMERAS}), "camera_mode").where("owner_id = 1 and sub_pos = 0").first()
     assert shown["res"] == "1080p" and shown["fps"] == [30] and shown["parent"] == "camera:0"
+    flat = nested.flatten(df, "d", {"cameras": nested.CAMERAS})
+    assert {r["subtype"] for r in flat.where("child = 'camera'").collect()} == {"flat", "modes:list", "video:map"}
+    assert nested.subtype_table(flat, "camera", "flat").columns == ["owner_table", "owner_id", "pos", "sub_pos", "parent", "type", "mp", "aperture", "ois"]
+    nested.write_subtypes(flat, f"{tmp_path}/subtypes")
+    routed = spark.read.parquet(f"{tmp_path}/subtypes")
+    assert routed.count() == flat.count() and routed.where("child = 'camera_mode' and subtype = 'fps:list'").count() == 1
+    only = nested.flatten(df, "d", {"cameras": nested.CAMERAS, "display": nested.PANELS}, only="camera_mode", bodies=False)
+    assert {(r["child"], r["body"]) for r in only.collect()} == {("camera_mode", None)} and only.count() == 4
     display = spark.createDataFrame([(1, '{"type":"IPS","panels":{"role":"main"}}'), (2, '[{"role":"a"},{},{"role":"b"}]'), (3, '{"type":"IPS"}'), (4, '{"panels":{"main":{"role":"m"},"slot1":null,"cover":{"role":"c"}}}')], "id bigint, display string")
     assert {(r["owner_id"], r["pos"]) for r in nested.flatten(display, "d", {"display": nested.PANELS}).collect()} == {(1, 0), (2, 0), (2, 2), (4, 0), (4, 2)}
     assert nested.flatten(display.limit(0), "d", {"display": nested.PANELS}).count() == 0
