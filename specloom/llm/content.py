@@ -84,28 +84,27 @@ def passages(text: str | None) -> list[str]:
 
 
 def _word(w: str) -> str:
-    """One word in plain letters: signs and digits inside letters read as letters, long runs as one."""
-    if not w.isalpha():
-        if _DISGUISED.fullmatch(w) and not _MEASURE.fullmatch(w):
-            w = w.translate(_SIGNS)
-        else:
-            w = re.sub(r"\d+", "0", w)
-    if len(w) > 3:
-        w = _RUN.sub(r"\1", w)
-    return w
+    """One word in plain letters: signs and digits inside letters read as letters, other digits as 0."""
+    if _DISGUISED.fullmatch(w) and not _MEASURE.fullmatch(w):
+        return w.translate(_SIGNS)
+    return re.sub(r"\d+", "0", w)
 
 
 def skeleton(passage: str) -> str:
-    """A passage without what varies: speakers, names, numbers, disguises of letters.
+    """A passage without what varies: speakers, names, numbers, disguises of letters, long runs.
 
-    Two or more capitalised words in a row, or one before a number, are a name.
+    Capitalised words in a row, or one before a number, are a name.
     """
-    s = unicodedata.normalize("NFKD", passage.translate(_ZERO_WIDTH))
-    s = "".join(c for c in s if not unicodedata.combining(c)).translate(_LOOKALIKE) if not s.isascii() else s
+    s = passage
+    if not s.isascii():
+        s = unicodedata.normalize("NFKD", s.translate(_ZERO_WIDTH))
+        s = "".join(c for c in s if not unicodedata.combining(c)).translate(_LOOKALIKE)
     s = _SPEAKER.sub("", s)
     s = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[1]), s)
     s = _NAMES.sub("qname", _NAME.sub(" qname ", s)) if not s.isupper() else s
-    return " ".join(_word(w) for w in _TOKEN.findall(_NUMBER.sub("0", s.lower())))
+    words = [w if w.isalpha() else _word(w) for w in _TOKEN.findall(_NUMBER.sub("0", s.lower()))]
+    s = " ".join(words)
+    return " ".join(_RUN.sub(r"\1", w) if len(w) > 3 else w for w in words) if _RUN.search(s) else s
 
 
 def terms(skel: str) -> list[str]:
