@@ -1,10 +1,12 @@
 """Quantities recorded in different units.
 
 A value's unit is read from its text or, where none is written, found by physical
-identities: the quantity lies about the field's centre, and a boost clock is a base clock
-times a factor a little over one. Of all combinations of units (and of readings of a
-comma) the one with the least sum of absolute log residuals holds; a value whose second
-best combination is nearly as good is flagged as not unique.
+identities: the quantity lies about the field's centre, a cache is so many slices times
+the size of one, and a boost clock is the base clock times a factor a little over one. A
+base and a boost clock are solved together: of all combinations of their units (and of
+readings of a comma) the one with the least sum of absolute log residuals over all
+identities holds; a value whose best combination with another unit is nearly as good is
+flagged as not unique.
 """
 
 from __future__ import annotations
@@ -103,18 +105,22 @@ def solve(df: DataFrame, units: dict[str, float]) -> DataFrame:
     """Adds ``field_unit``, ``stated_unit``, ``value`` (in it) and ``unique_solution``.
 
     For rows of fields of one dimension, with spec_field, _unit, _n1, _n2, boost and
-    _centre. Per unit the reading nearer to the centre counts; a boost clock, itself read in
-    the unit that suits the centre best, pulls the base towards its own size. All of it is
-    plain arithmetic. A row without a combination has null.
+    _centre. For every unit of the value, the reading nearer to the centre and the boost's
+    unit that fits both the centre and the value best make its residual. All of it is plain
+    arithmetic. A row without a combination has null.
     """
     c, names = F.col, list(units)
     fields = [f for f in FIELDS.values() if f.units is units]
     own = lambda of: reduce(lambda acc, f: acc.when(c("spec_field") == f.name, F.lit(of(f))), fields[1:], F.when(c("spec_field") == fields[0].name, F.lit(of(fields[0]))))
     log = {u: math.log(size) for u, size in units.items()}
-    df = df.withColumns({"field_unit": own(lambda f: f.unit), "_own": own(lambda f: f.units[f.unit]), "_mid": F.coalesce("_centre", own(lambda f: math.log(f.centre))), "_l1": F.ln("_n1"), "_l2": F.ln("_n2"), "_lb": F.when(c("boost") > 0, F.ln("boost") - BOOST_RATIO_LOG - F.coalesce("_centre", own(lambda f: math.log(f.centre))))})
-    off = F.reduce(F.array(*[c("_lb") + x for x in log.values()]), F.lit(None).cast("double"), lambda acc, x: F.when(acc.isNull() | (F.abs(x) < F.abs(acc)), x).otherwise(acc))
-    df = df.withColumns({"_d1": c("_l1") - c("_mid"), "_d2": c("_l2") - c("_mid"), "_turbo": off}) if units is CLOCK else df.withColumns({"_d1": c("_l1") - c("_mid"), "_d2": c("_l2") - c("_mid"), "_turbo": F.lit(None).cast("double")})
-    near = {u: F.least(F.abs(c("_d1") + x), F.abs(c("_d2") + x)) + F.coalesce(F.abs(c("_d1") + x - c("_turbo")), F.lit(0.0)) for u, x in log.items()}
+    mid = F.coalesce("_centre", own(lambda f: math.log(f.centre)))
+    df = df.withColumns({"field_unit": own(lambda f: f.unit), "_own": own(lambda f: f.units[f.unit]), "_d1": F.ln("_n1") - mid, "_d2": F.ln("_n2") - mid, "_lb": (F.when(c("boost") > 0, F.ln("boost") - BOOST_RATIO_LOG - mid) if units is CLOCK else F.lit(None).cast("double"))})
+    # |boost off its centre| and |boost off the value times the factor|, at the boost's best unit.
+    joint = lambda x: F.least(*[F.abs(c("_lb") + y) + F.abs(c("_lb") + y - x) for y in log.values()])
+    near = {}
+    for u, x in log.items():
+        value = F.when(c("_d1").isNull() | (F.abs(c("_d2") + x) < F.abs(c("_d1") + x)), c("_d2") + x).otherwise(c("_d1") + x)
+        near[u] = F.abs(value) + F.coalesce(joint(value), F.lit(0.0))
     df = df.withColumns({f"_c_{u}": F.when(c("_unit").isNull() | (c("_unit") == u), near[u]) for u in names})
     df = df.withColumn("_best", F.least(*[c(f"_c_{u}") for u in names]))
     which = lambda of: reduce(lambda acc, u: acc.when(c(f"_c_{u}") == c("_best"), F.lit(of(u))), names[1:], F.when(c(f"_c_{names[0]}") == c("_best"), F.lit(of(names[0]))))
@@ -129,7 +135,7 @@ def centres(parsed: DataFrame) -> DataFrame:
     """Per field the median log quantity over values whose unit is written and whose number is plain."""
     size = reduce(lambda acc, u: acc.when(F.col("_unit") == u[0], F.lit(math.log(u[1]))), [*CLOCK.items(), *CACHE.items()][1:], F.when(F.col("_unit") == "hz", F.lit(0.0)))
     return (
-        parsed.where("_unit is not null and _n1 is not null and _n2 is null")
+        parsed.where("_unit is not null and _n1 is not null and _n2 is null").where(F.col("spec_field").isin(*FIELDS))
         .groupBy(F.col("spec_field").alias("_field"))
         .agg(F.percentile_approx(F.ln("_n1") + size, 0.5, 1000).alias("_centre"))
     )
@@ -157,7 +163,8 @@ def standardise(sources: list[tuple[str, DataFrame]], spec: DataFrame) -> DataFr
                         F.col(f.name).cast("double").alias("_n1"), none.alias("_n2"), (F.col("boost").cast("double") if "boost" in df.columns else none).alias("boost"),
                     )
                 )
-    joined = rows.join(middle, F.col("spec_field") == F.col("_field"), "left")
+    # At most one row per field of FIELDS.
+    joined = rows.join(F.broadcast(middle), F.col("spec_field") == F.col("_field"), "left")
     out = None
     for units in (CLOCK, CACHE):
         known = F.col("spec_field").isin(*[f.name for f in FIELDS.values() if f.units is units]) & (F.col("_unit").isNull() | F.col("_unit").isin(*units))

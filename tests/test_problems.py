@@ -1,6 +1,7 @@
 """Orphans, nested records, units and compaction: brute force and edge cases."""
 
 import json
+import math
 
 import duckdb
 from pyspark.sql import functions as F
@@ -126,6 +127,22 @@ def test_units(spark):
     assert {(r["row_id"], r["spec_field"], r["stated_unit"]) for r in out if r["src_table"] == "cpus"} == {(1, "base_clock_ghz", "mhz"), (1, "l3_cache_mb", "mb"), (2, "l3_cache_mb", "b"), (3, "base_clock_ghz", "ghz")}
 
 
+def test_units_that_nothing_settles_are_flagged(spark):
+    """A bare number as near to the centre in one unit as in another, and one that its boost clock settles."""
+    spec = spark.createDataFrame([(i, "base_clock_ghz", f"{x} GHz") for i, x in enumerate((2.8, 2.9, 3.0))] + [(10, "base_clock_ghz", "92"), (11, "base_clock_ghz", "2900")], "reading_id bigint, spec_field string, value_text string")
+    cpus = spark.createDataFrame([(1, 92.0, None), (2, 92.0, 120.0), (3, 2.9, 4100.0), (4, 2900.0, 3.7)], "id bigint, base_clock_ghz double, boost double")
+    got = {(r["src_table"], r["row_id"]): (r["stated_unit"], r["unique_solution"]) for r in units.standardise([("cpus", cpus)], spec).collect()}
+    assert not got[("spec_readings", 10)][1] and not got[("cpus", 1)][1] and got[("spec_readings", 11)] == ("mhz", True)
+    assert got[("cpus", 3)] == ("ghz", True) and got[("cpus", 4)] == ("mhz", True) and got[("spec_readings", 0)] == ("ghz", True)
+    # The combination of base and boost is the best of all sixteen, by brute force.
+    size = {"hz": 1.0, "khz": 1e3, "mhz": 1e6, "ghz": 1e9}
+    mid = math.log(2.9e9)
+    for base, boost in ((3.0, 4000.0), (250.0, 3.9), (41.0, 52.0), (3100.0, 4.0)):
+        cost = {(u, w): abs(math.log(base * a) - mid) + abs(y) + abs(y - (math.log(base * a) - mid)) for u, a in size.items() for w, b in size.items() for y in (math.log(boost * b) - units.BOOST_RATIO_LOG - mid,)}
+        one = spark.createDataFrame([(1, base, boost)], "id bigint, base_clock_ghz double, boost double")
+        assert [r["stated_unit"] for r in units.standardise([("cpus", one)], spec.where("reading_id < 3")).where("src_table = 'cpus'").collect()] == [min(cost, key=cost.get)[0]]
+
+
 def test_whole_records():
     a, b = {"record_uid": 1, "s": "}{"}, {"record_uid": 2, "d": {"x": [1]}}
     uid = lambda body: sorted(r["record_uid"] for r in compactor.whole_records(body))
@@ -141,9 +158,46 @@ def test_compaction_takes_new_files_once(spark, tmp_path):
     one.write.parquet(src)
     assert sorted((r["record_uid"], r["file_id"]) for r in compactor.compact(spark, src, out).collect()) == [(1, 3), (2, 4)]
     spark.createDataFrame([(1, '[{"record_uid":2},{"record_uid":9}]')], "file_id bigint, body string").write.mode("append").parquet(src)
+    before = compactor.Store(spark, out).manifest()
     again = compactor.compact(spark, src, out)
     assert sorted((r["record_uid"], r["file_id"]) for r in again.collect()) == [(1, 3), (2, 1), (9, 1)]
-    assert again.select(F.input_file_name()).distinct().count() == 1
+    # Buckets without a new record keep their version; the others' old ones can be emptied.
+    store = compactor.Store(spark, out)
+    after, where = store.manifest(), lambda u: spark.range(1).select(F.pmod(F.xxhash64(F.lit(u).cast("bigint")), F.lit(compactor.BUCKETS))).first()[0]
+    assert {b for b in after if before.get(b) != after[b]} == {where(2), where(9)}
+    assert store.vacuum() == len([b for b in before if before[b] != after[b]]) and store.table().count() == 3
+
+
+def test_compaction_of_many_files_in_batches(spark, tmp_path):
+    """Every record once with its lowest file, whatever the batches; a batch done twice changes nothing."""
+    import random
+
+    rnd = random.Random(9)
+    rows, want = [], {}
+    for f in range(240):
+        uids = [rnd.randint(1, 150) for _ in range(rnd.randint(0, 4))]
+        rows.append((f, "\n".join(json.dumps({"record_uid": u, "of": f}) for u in uids) or None))
+        for u in uids:
+            want[u] = min(want.get(u, f), f)
+    rnd.shuffle(rows)
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    df = spark.createDataFrame(rows, "file_id bigint, body string").repartition(40)
+    df.write.parquet(src)
+    got = compactor.compact(spark, src, out, batch_bytes=10_000)
+    assert {r["record_uid"]: r["file_id"] for r in got.collect()} == want and got.count() == len(want)
+    assert all(json.loads(r["record"])["of"] == r["file_id"] for r in got.collect())
+    store = compactor.Store(spark, out)
+    turns = {t for t in store.manifest().values()}
+    assert max(turns) > 1
+    store.add(compactor.records(df), max(turns))
+    assert {r["record_uid"]: r["file_id"] for r in store.table().collect()} == want
+    assert store.table().select(F.input_file_name()).distinct().count() <= compactor.BUCKETS
+    # An empty folder, and one file.
+    df.limit(0).write.parquet(f"{tmp_path}/none")
+    assert compactor.compact(spark, f"{tmp_path}/none").count() == 0
+    df.coalesce(1).write.parquet(f"{tmp_path}/one")
+    part = next(p for p in (tmp_path / "one").iterdir() if p.name.endswith(".parquet"))
+    assert compactor.compact(spark, str(part)).count() == len(want)
 
 
 def test_queries_match_their_sql(spark):
