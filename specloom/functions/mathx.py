@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -35,10 +36,78 @@ PHONE_SCALES = {
     "main_camera_mp": Scale(8, 200, False),
     "msrp_usd": Scale(200, 1600, False, True),
 }
+CPU_SCALES = {
+    "cinebench_r23_single": Scale(480, 2380),
+    "cinebench_r23_multi": Scale(1900, 180000),
+    "geekbench_single": Scale(590, 3200),
+    "geekbench_multi": Scale(1900, 92000),
+    "passmark_single": Scale(300, 4730),
+    "passmark_cpu_mark": Scale(210, 148000),
+    "cinebench_2024_single": Scale(72, 144),
+    "cinebench_2024_multi": Scale(483, 4321),
+    "cinebench_r15_single": Scale(83, 346),
+    "cinebench_r15_multi": Scale(149, 6536),
+    "cinebench_r11_5_single": Scale(0.91, 4.0),
+    "cinebench_r11_5_multi": Scale(1.0, 69),
+    "cinebench_r10_single": Scale(541, 12522),
+    "cinebench_r10_multi": Scale(865, 99662),
+    "specint2006": Scale(11.4, 81.5),
+    "specfp2006": Scale(10.3, 151),
+    "dhrystone_mips": Scale(8.7, 9726),
+    "whetstone_mflops": Scale(1, 200000),
+    "superpi_1m_sec": Scale(5, 600, True, True),
+}
+GPU_SCALES = {
+    "timespy_score": Scale(513, 34163),
+    "timespy_extreme_score": Scale(173, 19460),
+    "passmark_g3d_mark": Scale(3, 38073),
+    "fp32_tflops": Scale(0.023, 81.72),
+    "blender_score": Scale(97.45, 14972),
+    "speedway_score": Scale(180, 10074),
+    "octanebench_score": Scale(16, 1258),
+}
+CPU_CHAINS = {
+    "single": ["cinebench_r23_single", "geekbench_single", "passmark_single", "cinebench_2024_single", "cinebench_r15_single", "cinebench_r11_5_single", "cinebench_r10_single", "specint2006", "dhrystone_mips", "superpi_1m_sec"],
+    "multi": ["cinebench_r23_multi", "geekbench_multi", "passmark_cpu_mark", "cinebench_2024_multi", "cinebench_r15_multi", "cinebench_r11_5_multi", "cinebench_r10_multi", "specfp2006", "whetstone_mflops"],
+}
+GPU_CHAINS = {"graphics": ["timespy_score", "passmark_g3d_mark", "fp32_tflops", "blender_score", "timespy_extreme_score", "speedway_score", "octanebench_score"]}
+CPU_WEIGHTS = {"single": 0.45, "multi": 0.55}
+GPU_WEIGHTS = {"graphics": 1.0}
 ERA_BANDS = ((0, 2005, "pre-2006"), (2006, 2009, "2006-2009"), (2010, 2013, "2010-2013"), (2014, 2016, "2014-2016"), (2017, 2019, "2017-2019"), (2020, 2021, "2020-2021"), (2022, 2023, "2022-2023"), (2024, 2999, "2024-2026"))
 TIERS = ((95, "S"), (80, "A"), (60, "B"), (40, "C"), (20, "D"), (5, "E"), (0, "F"))
 
 
+VERSION = "2.0.0"
+
+
+def load_config(path: str, version: str = VERSION) -> dict:
+    """A scoring configuration from JSON or, where a YAML reader is installed, YAML.
+
+    Gives {"scales": {category: {benchmark: Scale}}, "chains", "weights", "era_bands",
+    "tiers"}. A file that is no mapping or of another version is an error.
+    """
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        raw = yaml.safe_load(text)
+    else:
+        raw = json.loads(text)
+    if not isinstance(raw, dict):
+        raise ValueError(f"{path} is not a mapping")
+    if str(raw.get("algorithm_version")) != version:
+        raise ValueError(f"{path} has version {raw.get('algorithm_version')!r}, not {version!r}")
+    scale = lambda x: Scale(float(x["lo"]), float(x["hi"]), bool(x.get("log", False)), bool(x.get("invert", False)))
+    return {
+        "scales": {c: {n: scale(x) for n, x in group.items()} for c, group in raw["reference_scales"].items()},
+        "chains": {c: {dim: [str(b) for b in chain] for dim, chain in dims.items()} for c, dims in raw["chains"].items()},
+        "weights": {k: {n: float(w) for n, w in group.items()} for k, group in raw["weights"].items()},
+        "era_bands": tuple((int(lo), int(hi), str(name)) for lo, hi, name in raw["era_bands"]),
+        "tiers": tuple((float(least), str(name)) for least, name in raw["tiers"]),
+    }
+
+
 def py_round(c: Column, n: int = 1) -> Column:
     """Round the exact binary value half-even, as correctly rounded printing does."""
     return F.regexp_replace(F.format_number(c.cast("double"), n), ",", "").cast("double")
@@ -79,4 +148,5 @@ def tier(percentile: Column, tiers=TIERS) -> Column:
 
 def axis(chain: Sequence[tuple[Column, Scale, str]]) -> Column:
     """The first member of a chain with a capability, as struct (index, source)."""
-    return F.coalesce(*[F.when(capability(c, s).isNotNull(), F.struct(capability(c, s).alias("index"), F.lit(name).alias("source"))) for c, s, name in chain])
+    steps = F.array(*[F.struct(capability(c, s).alias("index"), F.lit(name).alias("source")) for c, s, name in chain])
+    return F.get(F.filter(steps, lambda x: x["index"].isNotNull()), F.lit(0))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,28 +34,53 @@ def fill_nulls(df: DataFrame, found: DataFrame, key: str, columns: list[str]) ->
     return joined.withColumn("outcome", outcome).withColumns({c: F.coalesce(c, f"_{c}") for c in columns}).drop(*[f"_{c}" for c in columns])
 
 
-def nearest_rank(values: Column, p: float) -> Column:
-    """The value at index round-half-even(p/100 (n-1)) of the sorted non-null values."""
-    s = F.array_sort(F.filter(values, lambda x: x.isNotNull()))
-    return F.get(s, F.bround(F.lit(p / 100.0) * (F.size(s) - 1), 0).cast("int"))
+#: Accuracy of the sketch that brackets a rank; ranks are exact whatever it is.
+SKETCH = 10_000
+
+
+def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str, tuple[float, Callable[[Column], Column]]]) -> DataFrame:
+    """(*by, n, names ...): exact values at ranks of each group, without sorting a group in one task.
+
+    ``ranks`` maps a name to (its share of the group, its 0-based rank as a column of n). In
+    a large group a sketch brackets each rank by two values; what lies below a bracket is
+    only counted, what lies in it is counted per value, and of these few the one that covers
+    the rank is picked. Null values do not count; groups without others give no row.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    slack = 3.0 / SKETCH
+    ends = [max(0.0, min(1.0, share + d)) for share, _ in ranks.values() for d in (-slack, slack)]
+    sketch = rows.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", ends, SKETCH).alias("_e"))
+    large = F.col("n") > 10 * SKETCH  # a bracket is then wider than what rounding a rank may do
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("n")).alias("rank"), F.when(large, F.get("_e", F.lit(2 * i))).alias("lo"), F.when(large, F.get("_e", F.lit(2 * i + 1))).alias("hi")) for i, (name, (_, rank)) in enumerate(ranks.items())])
+    same = reduce(lambda x, y: x & y, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+    told = rows.join(sketch, same).select(*by, "n", "_v", F.explode(wanted).alias("s")).where("s.hi is null or _v <= s.hi")
+    counted = told.groupBy(*by, "n", "s.name", "s.rank", F.when(F.col("s.lo").isNull() | (F.col("_v") >= F.col("s.lo")), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*by, "name").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    found = counted.withColumn("_upto", F.sum("_c").over(upto)).where("_upto > rank").groupBy(*by, "n", "name").agg(F.min("_v").alias("_v"))
+    return found.groupBy(*by, "n").agg(*[F.max(F.when(F.col("name") == name, F.col("_v"))).alias(name) for name in ranks])
+
+
+def medians(df: DataFrame, by: list[str], value: str, out: str = "median") -> DataFrame:
+    """(*by, n, median): the mean of the two middle values of each group, exactly."""
+    half = lambda n, up: F.floor((n - 1 + up) / 2).cast("bigint")
+    found = order_statistics(df, by, value, {"_low": (0.5, lambda n: half(n, 0)), "_high": (0.5, lambda n: half(n, 1))})
+    return found.select(*by, "n", ((F.col("_low") + F.col("_high")) / 2).alias(out))
 
 
 def rank_bounds(df: DataFrame, by: list[str], value: str, lo: float = 1.0, hi: float = 99.0, least: int = 5) -> DataFrame:
-    """Nearest-rank bounds per group by a window rank, so no group is gathered into one list."""
-    w = Window.partitionBy(*by)
-    ranked = df.where(F.col(value).isNotNull()).select(*by, value).withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count(F.lit(1)).over(w))
-    at = lambda p: F.bround(F.lit(p / 100.0) * (F.col("_n") - 1), 0).cast("int")
-    return ranked.where(F.col("_n") >= least).groupBy(*by).agg(F.max("_n").alias("n"), F.max(F.when(F.col("_i") == at(lo), F.col(value))).alias("lo"), F.max(F.when(F.col("_i") == at(hi), F.col(value))).alias("hi"))
+    """Nearest-rank bounds per group of at least ``least`` values: index round-half-even(p/100 (n-1))."""
+    at = lambda p: (p / 100.0, lambda n: F.bround(F.lit(p / 100.0) * (n - 1), 0).cast("bigint"))
+    return order_statistics(df, by, value, {"lo": at(lo), "hi": at(hi)}).where(F.col("n") >= least)
 
 
 def mad_outliers(df: DataFrame, key: list[str], ratio: Column, by: list[str], k: float = 4.0, least: int = 8) -> DataFrame:
-    """Rows whose log ratio lies more than k median deviations off the median of their group."""
+    """Rows whose log ratio lies more than k median deviations off the median of their group, with log ratio and ratio."""
     rows = df.where(ratio > 0).select(*key, *[c for c in by if c not in key], F.ln(ratio).alias("_r"))
-    mid = rows.groupBy(*by).agg(F.median("_r").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    mid = medians(rows, by, "_r", "_m").withColumnRenamed("n", "_n")
     dev = rows.join(mid, by).withColumn("_d", F.abs(F.col("_r") - F.col("_m")))
-    mad = dev.groupBy(*by).agg(F.median("_d").alias("_mad"))
+    mad = medians(dev, by, "_d", "_mad").drop("n")
     out = dev.join(mad, by).where((F.col("_n") >= least) & (F.col("_d") > k * F.when(F.col("_mad") == 0, 1e-9).otherwise(F.col("_mad"))))
-    return out.select(*key, *[c for c in by if c not in key], py_round(F.col("_r"), 4).alias("log_ratio"))
+    return out.select(*key, *[c for c in by if c not in key], py_round(F.col("_r"), 4).alias("log_ratio"), py_round(F.exp("_r"), 2).alias("ratio"))
 
 
 def page(df: DataFrame, order: list[Column], offset: int = 0, limit: int = 20) -> DataFrame:

@@ -5,26 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from specloom.functions.mathx import PHONE_SCALES, SOC_SCALES, capability, combine, era_band, py_round, tier
+from specloom.functions.mathx import PHONE_SCALES, SOC_SCALES, Scale, axis, capability, combine, era_band, py_round, tier
 
 
-def with_relative(df: DataFrame, index: str, era: str = "era", *by: str, prefix: str = "") -> DataFrame:
+def cohort_table(df: DataFrame, index: str, era: str = "era") -> DataFrame:
+    """(era, index, percentile, cohort): one row per era and value of an index of one decimal.
+
+    Values are counted first; an era has at most 1,001 of them, so what is cumulated is
+    small however many rows an era has. Ties count as reached.
+    """
+    counts = df.where(F.col(index).isNotNull() & F.col(era).isNotNull()).groupBy(era, index).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(era)
+    reached = F.sum("_n").over(w.orderBy(index).rowsBetween(Window.unboundedPreceding, 0))
+    return counts.select(era, index, py_round(reached / F.sum("_n").over(w) * 100, 1).alias("percentile"), F.sum("_n").over(w).alias("cohort"))
+
+
+def with_relative(df: DataFrame, index: str, era: str = "era", prefix: str = "") -> DataFrame:
     """Adds percentile, tier and cohort size of an index among rows of the same era.
 
-    Rows without index or era are in no cohort and have null. Ties count as reached.
+    Rows without index or era are in no cohort and have null.
     """
-    inside = F.col(index).isNotNull() & F.col(era).isNotNull()
-    part = Window.partitionBy(*by, era, inside)
-    pct = F.when(inside, py_round(F.cume_dist().over(part.orderBy(index)) * 100, 1))
-    return df.withColumn(f"{prefix}percentile", pct).withColumn(f"{prefix}tier", tier(F.col(f"{prefix}percentile"))).withColumn(f"{prefix}cohort", F.when(inside, F.count(F.lit(1)).over(part)))
+    # At most 1,001 rows an era.
+    known = F.broadcast(cohort_table(df, index, era).select(F.col(era).alias("_era"), F.col(index).alias("_index"), F.col("percentile").alias(f"{prefix}percentile"), F.col("cohort").alias(f"{prefix}cohort")))
+    joined = df.join(known, (F.col(era) == F.col("_era")) & (F.col(index) == F.col("_index")), "left").drop("_era", "_index")
+    return joined.select(*df.columns, f"{prefix}percentile", tier(F.col(f"{prefix}percentile")).alias(f"{prefix}tier"), f"{prefix}cohort")
 
 
 def soc_scores(socs: DataFrame) -> DataFrame:
-    """(id, slug, era, cpu_index, system_index, overall, percentile, tier, cohort) by overall."""
+    """(id, slug, era, cpu_index, system_index, overall) with percentile, tier and cohort of the cpu and the system index."""
     single, multi = capability(F.col("geekbench_single"), SOC_SCALES["geekbench_single"]), capability(F.col("geekbench_multi"), SOC_SCALES["geekbench_multi"])
     scored = socs.select("id", "slug", era_band(F.col("release_date")).alias("era"), combine([(single, 0.4), (multi, 0.6)]).alias("cpu_index"), capability(F.col("antutu_score"), SOC_SCALES["antutu_score"]).alias("system_index"))
     scored = scored.withColumn("overall", combine([(F.col("cpu_index"), 0.7), (F.col("system_index"), 0.3)]))
-    return with_relative(scored, "overall")
+    return with_relative(with_relative(scored, "cpu_index", prefix="cpu_"), "system_index", prefix="system_")
+
+
+def chain_scores(parts: DataFrame, chains: dict[str, list[str]], scales: dict[str, Scale], weights: dict[str, float]) -> DataFrame:
+    """Axes of parts by the first benchmark of each chain that is there, and their weighted mean.
+
+    ``parts`` have id, slug, release_date and any of the benchmarks; those it lacks count as
+    absent. Each axis has index, source, percentile, tier and cohort.
+    """
+    base = parts.withColumn("era", era_band(F.col("release_date")))
+    for dim, chain in chains.items():
+        base = base.withColumn(f"_{dim}", axis([(F.col(n), scales[n], n) for n in chain if n in parts.columns]))
+    scored = base.select("id", "slug", "era", *[c for dim in chains for c in (F.col(f"_{dim}.index").alias(f"{dim}_index"), F.col(f"_{dim}.source").alias(f"{dim}_source"))])
+    scored = scored.withColumn("overall", combine([(F.col(f"{dim}_index"), weights[dim]) for dim in chains]))
+    for dim in chains:
+        scored = with_relative(scored, f"{dim}_index", prefix=f"{dim}_")
+    return scored
+
+
+def cohort_stats(dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(dimension, era, cohort, best, middle) over the cohorts of all dimensions: their size, top and lower median index."""
+    out = None
+    for name, (df, index) in dimensions.items():
+        t = cohort_table(df, index)
+        middle = F.min(F.when(F.col("percentile") >= 50.0, F.col(index)))
+        one = t.groupBy("era").agg(F.max("cohort").alias("cohort"), F.max(index).alias("best"), middle.alias("middle")).select(F.lit(name).alias("dimension"), "era", "cohort", "best", "middle")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def camera_score(cameras: Column) -> Column:

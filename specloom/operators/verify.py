@@ -67,6 +67,63 @@ def phone_signals(now_year: int) -> list[tuple[Column, bool]]:
     ]
 
 
+def cpu_signals(now_year: int) -> dict[str, tuple[Column, bool]]:
+    """name -> (signal, hard) of processors; a comparison with an unknown side is null."""
+    c = F.col
+    return {
+        "threads_ge_cores": (c("threads") >= c("cores"), True),
+        "boost_ge_base": (c("boost_clock_ghz") >= c("base_clock_ghz"), True),
+        "max_tdp_ge_tdp": (c("max_tdp_w") >= c("tdp_w"), False),
+        "cb23_multi_ge_single": (c("cinebench_r23_multi") >= c("cinebench_r23_single"), False),
+        "gb_multi_ge_single": (c("geekbench_multi") >= c("geekbench_single"), False),
+        "release_not_future": (F.year("release_date") <= now_year + 1, True),
+        "hybrid_core_sum": (c("p_cores") + c("e_cores") == c("cores"), False),
+    }
+
+
+def gpu_signals(now_year: int) -> dict[str, tuple[Column, bool]]:
+    """As cpu_signals, of graphics cards; ``manufacturer`` is a slug."""
+    c, maker = F.col, F.lower("manufacturer")
+    filed = lambda own, foreign: F.when(c(own).isNotNull(), True).when(c(foreign).isNotNull(), False)
+    return {
+        "boost_ge_base": (c("boost_clock_mhz") >= c("base_clock_mhz"), True),
+        "release_not_future": (F.year("release_date") <= now_year + 1, True),
+        "vendor_core_field": (F.when(maker == "nvidia", filed("cuda_cores", "stream_processors")).when(maker.isin("amd", "intel"), filed("stream_processors", "cuda_cores")).when(c("cuda_cores").isNotNull() | c("stream_processors").isNotNull(), True), False),
+        "rt_cores_era": (F.when(c("rt_cores") > 0, F.year("release_date") >= 2018), False),
+    }
+
+
+def soc_signals(now_year: int) -> dict[str, tuple[Column, bool]]:
+    """As cpu_signals, of chips."""
+    year, nm = F.year("release_date"), F.col("process_nm")
+    return {
+        "release_not_future": (year <= now_year + 1, True),
+        "process_nm_era": (~(((nm < 7) & (year < 2017)) | ((nm < 3) & (year < 2022))), False),
+        "gpu_name_present": (F.coalesce(F.trim("gpu_name") != "", F.lit(False)), False),
+    }
+
+
+#: Columns that each signal reads, for rows that lack some of them.
+_READS = {
+    "threads_ge_cores": ("threads", "cores"), "boost_ge_base": (), "max_tdp_ge_tdp": ("max_tdp_w", "tdp_w"), "cb23_multi_ge_single": ("cinebench_r23_multi", "cinebench_r23_single"), "gb_multi_ge_single": ("geekbench_multi", "geekbench_single"),
+    "hybrid_core_sum": ("p_cores", "e_cores", "cores"), "vendor_core_field": ("manufacturer", "cuda_cores", "stream_processors"), "rt_cores_era": ("rt_cores",), "release_not_future": ("release_date",),
+}
+
+
+def long_signals(rows: DataFrame, signals: dict[str, tuple[Column, bool]], key: str) -> DataFrame:
+    """(key, signal, result): pass, fail or na per row and signal whose columns the rows have."""
+    there = set(rows.columns)
+
+    def asked(name: str) -> bool:
+        if name == "boost_ge_base":
+            return bool({"boost_clock_ghz", "boost_clock_mhz"} & there)
+        return set(_READS.get(name, ())) <= there
+
+    result = lambda ok: F.when(ok.isNull(), "na").when(ok, "pass").otherwise("fail")
+    cells = F.array(*[F.struct(F.lit(n).alias("signal"), result(ok).alias("result")) for n, (ok, _) in signals.items() if asked(n)])
+    return rows.select(key, F.explode(cells).alias("s")).select(key, "s.signal", "s.result")
+
+
 def tier0(rich: list[Column], signals: list[tuple[Column, bool]], urls: Column) -> Column:
     """Struct (band, total, best_tier) of the offline plausibility score.
 
@@ -96,17 +153,20 @@ def fresh(checked: Column, now: Column, days: int) -> Column:
 def crossref(records: DataFrame, candidates: DataFrame, key: str = "record_id") -> DataFrame:
     """(key, decision) from the candidates found for each record (key, rank, title, year).
 
-    Headings agree when equal, or when the shorter has four letters and ends the other. The
-    best agreeing candidate has a year and the least rank; a year within one confirms,
-    another contradicts, none is ambiguous; no candidate is notfound. ``records`` have
-    key, name and year.
+    Headings agree when equal, or when the candidate's has four letters and one ends the
+    other; empty ones never. The best agreeing candidate has a year and the least rank; a
+    year within one confirms, another contradicts, none is ambiguous, and so are candidates
+    none of which agrees. A record without a name or candidates is notfound. ``records``
+    have key, name and year.
     """
     c = candidates.select(key, "rank", normalize_heading(F.col("title")).alias("h"), F.col("year").alias("found"))
-    r = records.select(key, normalize_heading(F.col("name")).alias("n"), F.col("year").alias("own"))
-    near = (F.col("h") == F.col("n")) | ((F.length("h") >= 4) & (F.col("n").endswith(F.col("h")) | F.col("h").endswith(F.col("n"))))
-    best = r.join(c, key).where(near).groupBy(key).agg(F.min_by("found", F.struct(F.col("found").isNull(), "rank")).alias("found"), F.lit(True).alias("any"))
-    gap = F.abs(F.col("own") - F.col("found"))
-    return r.join(best, key, "left").select(key, F.when(F.col("any").isNull(), "notfound").when(gap.isNull(), "ambiguous").when(gap <= 1, "confirm").otherwise("contradict").alias("decision"))
+    r = records.select(key, normalize_heading(F.col("name")).alias("n"), F.col("year").alias("own"), (F.trim("name") != "").alias("named"))
+    near = (F.col("h") != "") & (F.col("n") != "") & ((F.col("h") == F.col("n")) | ((F.length("h") >= 4) & (F.col("n").endswith(F.col("h")) | F.col("h").endswith(F.col("n")))))
+    of = r.where("named").select(key, "n").join(c, key)
+    best = of.groupBy(key).agg(F.min_by(F.when(near, F.struct(F.col("found"))), F.when(near, F.struct(F.col("found").isNull(), "rank"))).alias("best"), F.count_if(near).alias("agree"), F.lit(True).alias("any"))
+    gap = F.abs(F.col("own") - F.col("best.found"))
+    decision = F.when(F.col("any").isNull(), "notfound").when((F.col("agree") == 0) | gap.isNull(), "ambiguous").when(gap <= 1, "confirm").otherwise("contradict")
+    return r.join(best, key, "left").select(key, decision.alias("decision"))
 
 
 def found_headings(records: DataFrame, entries: DataFrame, key: str = "record_id") -> DataFrame:

@@ -136,7 +136,14 @@ _SOC_SQL = (
 )
 
 
-@query(_relative(_SOC_SQL, "overall", "id, slug, era, cpu_index, system_index, overall"))
+def _relative_of(cte: str, index: str, prefix: str) -> str:
+    """As _relative, for one of several indexes; the percentile counts rows no better in the same era."""
+    inside = f"{index} IS NOT NULL AND era IS NOT NULL"
+    rows = f"SELECT era, {index} AS v, sum(count(*)) OVER (PARTITION BY era ORDER BY {index}) AS upto, sum(count(*)) OVER (PARTITION BY era) AS n FROM ({cte}) WHERE {inside} GROUP BY 1, 2"
+    return f"SELECT t.*, {rnd('100.0::DOUBLE * c.upto / c.n')} AS {prefix}percentile, {tier_of(rnd('100.0::DOUBLE * c.upto / c.n'))} AS {prefix}tier, c.n::BIGINT AS {prefix}cohort FROM ({cte}) t LEFT JOIN ({rows}) c ON t.era = c.era AND t.{index} = c.v"
+
+
+@query(_relative_of(_relative_of(_SOC_SQL, "cpu_index", "cpu_"), "system_index", "system_"))
 def q03_soc_scores(spark, d):
     return scoring.soc_scores(socs(spark, d))
 
@@ -254,21 +261,6 @@ def o06_most_common(spark, d):
 
 # ---- Validation and signals ---------------------------------------------------------
 
-# Inclusive ranges of the smartphone and cpu records.
-_RANGES = {"smartphones": {"ram_gb": (1, 64), "battery_mah": (500, 12000), "weight_g": (50, 500), "msrp_usd": (50, 5000)}, "cpus": {"cores": (1, 512), "threads": (1, 1024), "msrp_usd": (20, 50000)}}
-
-
-@query(" UNION ALL ".join(f"SELECT '{t}' AS tbl, id, '{c}' AS field, {c}::DOUBLE AS value FROM {latest(t)} WHERE {c} NOT BETWEEN {lo} AND {hi}" for t, r in _RANGES.items() for c, (lo, hi) in r.items()))
-def v03_range_errors(spark, d):
-    out = None
-    for t, r in _RANGES.items():
-        rows = counting_rows(table(spark, d, t), "id", "updated_at", *r)
-        bad = F.array_compact(F.array(*[F.when(~F.col(c).between(lo, hi), F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value"))) for c, (lo, hi) in r.items()]))
-        one = rows.select(F.lit(t).alias("tbl"), "id", F.explode(bad).alias("e")).select("tbl", "id", "e.field", "e.value")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 @query("SELECT ingest_id, slug FROM ingest_candidates WHERE slug IS NOT NULL AND NOT regexp_full_match(slug, '[a-z0-9]+(-[a-z0-9]+)*')")
 def v02_slug_shape(spark, d):
     return table(spark, d, "ingest_candidates").where(~F.col("slug").rlike("^[a-z0-9]+(?:-[a-z0-9]+)*$")).select("ingest_id", "slug")
@@ -293,24 +285,6 @@ def v11_fk_anti(spark, d):
     return phones(spark, d, "soc_id").where("soc_id is not null").join(s, "soc_id", "left_anti").select("id", "soc_id")
 
 
-_SIG = "CASE WHEN {a} IS NULL OR {b} IS NULL THEN 'na' WHEN {c} THEN 'pass' ELSE 'fail' END"
-
-
-@query(
-    f"SELECT id, 'threads_ge_cores' AS signal, {_SIG.format(a='threads', b='cores', c='threads >= cores')} AS result FROM {latest('cpus')} UNION ALL "
-    f"SELECT id, 'boost_ge_base', {_SIG.format(a='boost_clock_ghz', b='base_clock_ghz', c='boost_clock_ghz >= base_clock_ghz')} FROM {latest('cpus')} UNION ALL "
-    f"SELECT id, 'release_not_future', {_SIG.format(a='release_date', b='release_date', c='year(release_date) <= 2027')} FROM {latest('cpus')}"
-)
-def g_cpu_signals(spark, d):
-    def sig(a: str, b: str, ok: Column) -> Column:
-        return F.when(F.col(a).isNull() | F.col(b).isNull(), "na").when(ok, "pass").otherwise("fail")
-
-    c = F.col
-    rules = {"threads_ge_cores": sig("threads", "cores", c("threads") >= c("cores")), "boost_ge_base": sig("boost_clock_ghz", "base_clock_ghz", c("boost_clock_ghz") >= c("base_clock_ghz")), "release_not_future": sig("release_date", "release_date", F.year("release_date") <= 2027)}
-    rows = cpus(spark, d, "threads", "cores", "boost_clock_ghz", "base_clock_ghz", "release_date")
-    return rows.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("signal"), r.alias("result")) for n, r in rules.items()])).alias("s")).select("id", "s.signal", "s.result")
-
-
 _PPI = "sqrt(w * w + h * h) / size"
 
 
@@ -333,18 +307,6 @@ def g13_soc_not_after(spark, d):
     return phones(spark, d, "soc_id", "release_date").join(s, "soc_id", "left").select("id", F.when(F.col("release_date").isNull() | F.col("sd").isNull(), "na").when(F.year("sd") <= F.year("release_date") + slack, "pass").otherwise("fail").alias("result"))
 
 
-@query(f"SELECT id, CASE WHEN hard THEN 'red' WHEN total >= 75 THEN 'green' WHEN total < 45 THEN 'red' ELSE 'yellow' END AS band, {rnd('total')} AS total FROM (SELECT id, coalesce(threads < cores, false) OR coalesce(boost_clock_ghz < base_clock_ghz, false) AS hard, 25.0::DOUBLE * ((architecture IS NOT NULL AND architecture <> '')::INT + (base_clock_ghz IS NOT NULL)::INT + (boost_clock_ghz IS NOT NULL)::INT + (l3_cache_mb IS NOT NULL)::INT + (socket IS NOT NULL AND socket <> '')::INT + (tdp_w IS NOT NULL)::INT) / 7.0::DOUBLE + CASE WHEN (threads IS NOT NULL AND cores IS NOT NULL)::INT + (boost_clock_ghz IS NOT NULL AND base_clock_ghz IS NOT NULL)::INT = 0 THEN 35.0::DOUBLE ELSE 35.0::DOUBLE * (coalesce(threads >= cores, false)::INT + coalesce(boost_clock_ghz >= base_clock_ghz, false)::INT) / ((threads IS NOT NULL AND cores IS NOT NULL)::INT + (boost_clock_ghz IS NOT NULL AND base_clock_ghz IS NOT NULL)::INT)::DOUBLE END + 26.0::DOUBLE + 7.0::DOUBLE AS total FROM {latest('cpus')})")
-def q16_tier0_band(spark, d):
-    c, num = F.col, lambda b: F.coalesce(b, F.lit(False)).cast("int")
-    rows = cpus(spark, d, "architecture", "base_clock_ghz", "boost_clock_ghz", "l3_cache_mb", "socket", "tdp_w", "threads", "cores")
-    rich = sum((num(c(n).isNotNull() & (c(n) != "")) for n in ("architecture", "socket")), sum((num(c(n).isNotNull()) for n in ("base_clock_ghz", "boost_clock_ghz", "l3_cache_mb", "tdp_w")), F.lit(0)))
-    asked = num(c("threads").isNotNull() & c("cores").isNotNull()) + num(c("boost_clock_ghz").isNotNull() & c("base_clock_ghz").isNotNull())
-    passed = num(c("threads") >= c("cores")) + num(c("boost_clock_ghz") >= c("base_clock_ghz"))
-    total = 25.0 * rich / 7.0 + F.when(asked == 0, 35.0).otherwise(35.0 * passed / F.greatest(asked, F.lit(1))) + 26.0 + 7.0
-    hard = (num(c("threads") < c("cores")) + num(c("boost_clock_ghz") < c("base_clock_ghz"))) > 0
-    return rows.withColumn("t", total).select("id", F.when(hard, "red").when(c("t") >= 75, "green").when(c("t") < 45, "red").otherwise("yellow").alias("band"), py_round(c("t")).alias("total"))
-
-
 _NOW_YEAR = 2026
 _NO_URLS = "NULL::VARCHAR[]"
 
@@ -487,17 +449,6 @@ def q19_promotions(spark, d):
 # ---- Aggregates and windows ---------------------------------------------------------
 
 
-@query("SELECT coalesce(category, 'ALL') AS category, count(*) AS total, count(*) FILTER (batch_no > 0) AS fresh, count(DISTINCT slug) AS slugs FROM ingest_candidates GROUP BY ROLLUP (category)")
-def a10_status_rollup(spark, d):
-    i = table(spark, d, "ingest_candidates")
-    return i.rollup("category").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("batch_no") > 0).alias("fresh"), F.count_distinct("slug").alias("slugs")).withColumn("category", F.coalesce("category", F.lit("ALL")))
-
-
-@query("SELECT spec_field, count(*) FILTER (source = 'wikitable') AS wikitable, count(*) AS total FROM spec_readings GROUP BY 1")
-def a11_histogram(spark, d):
-    return table(spark, d, "spec_readings").groupBy("spec_field").agg(F.count_if(F.col("source") == "wikitable").alias("wikitable"), F.count(F.lit(1)).alias("total"))
-
-
 @query("SELECT category, manufacturer, count(DISTINCT slug) AS slugs, arg_min(name, point_id) AS first_name FROM coverage_points WHERE slug IS NOT NULL GROUP BY 1, 2")
 def a12_first_meta_per_key(spark, d):
     return table(spark, d, "coverage_points").where("slug is not null").groupBy("category", "manufacturer").agg(F.count_distinct("slug").alias("slugs"), F.min_by("name", "point_id").alias("first_name"))
@@ -512,7 +463,7 @@ def a13_duplicates(spark, d):
 def a06_sum_then_median(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
     sums = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("s"))
-    return o.join(sums, "o_orderkey").groupBy("y").agg(F.median("s").alias("median_sum"))
+    return records.medians(o.join(sums, "o_orderkey"), ["y"], "s", "median_sum").select("y", "median_sum")
 
 
 @query("SELECT l_partkey, max(l_extendedprice) AS best FROM lineitem GROUP BY 1")
@@ -528,7 +479,7 @@ def a08_nearest_rank_bounds(spark, d):
 @query(
     "WITH r AS (SELECT id, architecture, ln(boost_clock_mhz / base_clock_mhz) AS r FROM " + latest("gpus") + " WHERE boost_clock_mhz / base_clock_mhz > 0), m AS (SELECT architecture, median(r) AS m, count(*) AS n FROM r GROUP BY 1), "
     "v AS (SELECT r.*, m.n, abs(r.r - m.m) AS d FROM r JOIN m USING (architecture)), s AS (SELECT architecture, median(d) AS mad FROM v GROUP BY 1) "
-    f"SELECT id, architecture, {rnd('r', 4)} AS log_ratio FROM v JOIN s USING (architecture) WHERE n >= 8 AND d > 4 * CASE WHEN mad = 0 THEN 1e-9 ELSE mad END"
+    f"SELECT id, architecture, {rnd('r', 4)} AS log_ratio, {rnd('exp(r)', 2)} AS ratio FROM v JOIN s USING (architecture) WHERE n >= 8 AND d > 4 * CASE WHEN mad = 0 THEN 1e-9 ELSE mad END"
 )
 def a09_mad_outliers(spark, d):
     g = counting_rows(table(spark, d, "gpus"), "id", "updated_at", "architecture", "boost_clock_mhz", "base_clock_mhz")
@@ -636,12 +587,6 @@ def n01_spec_parsers(spark, d):
     return table(spark, d, "spec_readings").select("reading_id", parsers.frequency_ghz(v).alias("ghz"), parsers.cache_mb(v).alias("mb"), parsers.first_int(v).alias("first_int"))
 
 
-@query("SELECT ingest_id, try_strptime(CASE WHEN regexp_matches(t, '^\\d{4}-\\d{2}-\\d{2}$') THEN t WHEN regexp_matches(t, '^\\d{4}/\\d{2}/\\d{2}$') THEN replace(t, '/', '-') END, '%Y-%m-%d')::DATE AS iso, json_extract_string(record, '$.name') AS name FROM (SELECT ingest_id, record, trim(json_extract_string(record, '$.release_date')) AS t FROM ingest_candidates) WHERE regexp_matches(t, '^\\d{4}[-/]\\d{2}[-/]\\d{2}$')")
-def d01_iso_dates(spark, d):
-    i = table(spark, d, "ingest_candidates").select("ingest_id", F.get_json_object("record", "$.release_date").alias("t"), F.get_json_object("record", "$.name").alias("name"))
-    return i.where(F.trim("t").rlike(r"^\d{4}[-/]\d{2}[-/]\d{2}$")).select("ingest_id", parsers.date(F.col("t")).alias("iso"), "name")
-
-
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def c01_json_path(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
@@ -656,20 +601,3 @@ def c04_sorted_unique(spark, d):
     return phones(spark, d, _STORE).select("id", F.when(s.isNull() | (F.size(s) == 0), "na").when((F.array_min(s) >= 1) & (s == F.array_sort(F.array_distinct(s))), "pass").otherwise("fail").alias("storage_sane"))
 
 
-@query(
-    " UNION ALL ".join(f"SELECT '{n}' AS benchmark, count({n}) AS n, (list_sort(list({n})))[round_even(0.01::DOUBLE * (count({n}) - 1), 0)::INT + 1]::DOUBLE AS lo, (list_sort(list({n})))[round_even(0.99::DOUBLE * (count({n}) - 1), 0)::INT + 1]::DOUBLE AS hi FROM {latest('socs')} WHERE {n} IS NOT NULL" for n in SOC_SCALES)
-)
-def q11_calibrate(spark, d):
-    long = socs(spark, d).select(*[F.col(n).cast("double").alias(n) for n in SOC_SCALES]).unpivot([], list(SOC_SCALES), "benchmark", "v")
-    return records.rank_bounds(long, ["benchmark"], "v")
-
-
-@query("SELECT doc_id, CASE WHEN harm > 0.5 THEN 'hold' WHEN harm IS NULL THEN 'needs-confirmation' ELSE 'promote' END AS decision FROM documents LEFT JOIN (SELECT doc_id, avg(label) AS harm FROM content_labels GROUP BY 1) USING (doc_id)")
-def q19_promote_decision(spark, d):
-    h = table(spark, d, "content_labels").groupBy("doc_id").agg(F.avg("label").alias("harm"))
-    return table(spark, d, "documents").select("doc_id").join(h, "doc_id", "left").select("doc_id", F.when(F.col("harm") > 0.5, "hold").when(F.col("harm").isNull(), "needs-confirmation").otherwise("promote").alias("decision"))
-
-
-@query("SELECT category, count(*) AS records, count(manufacturer) AS with_maker, count(slug) AS with_slug FROM coverage_points GROUP BY 1")
-def k02_manifest(spark, d):
-    return table(spark, d, "coverage_points").groupBy("category").agg(F.count(F.lit(1)).alias("records"), F.count("manufacturer").alias("with_maker"), F.count("slug").alias("with_slug"))
