@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from specloom.plans import catalog, quality, training
+from specloom.plans import catalog, quality, reads, training
 
 QUERIES = {**catalog.QUERIES, **training.QUERIES}
 ORACLE = {**catalog.ORACLE, **training.ORACLE}
 
-assert quality  # its queries are in the catalog's tables
+assert quality and reads  # their queries are in the tables of the catalog
