@@ -46,6 +46,16 @@ def host_score(urls: Column) -> Column:
     return F.least(base + F.when(strong_hosts(urls) >= 2, 4.0).otherwise(0.0), F.lit(30.0))
 
 
+def has_key_like(raw: Column, prefix: str) -> Column:
+    """Whether a JSON object has a key that begins with ``prefix``; false for what is no object."""
+    return F.coalesce(F.exists(F.json_object_keys(raw), lambda k: k.startswith(prefix)), F.lit(False))
+
+
+def provenance(raw: Column, tier: Column) -> Column:
+    """7 points without raw parts; with them 5, and 3 more or less by a source of tier 1 or 2."""
+    return F.when(~raw, 7.0).when(tier.isin(1, 2), 8.0).otherwise(2.0)
+
+
 def phone_signals(now_year: int) -> list[tuple[Column, bool]]:
     """(signal, hard) of phones with their chip's release date ``soc_date``: true, false, or null where not applicable."""
     c, year = F.col, F.year("release_date")
@@ -124,17 +134,18 @@ def long_signals(rows: DataFrame, signals: dict[str, tuple[Column, bool]], key:
     return rows.select(key, F.explode(cells).alias("s")).select(key, "s.signal", "s.result")
 
 
-def tier0(rich: list[Column], signals: list[tuple[Column, bool]], urls: Column) -> Column:
+def tier0(rich: list[Column], signals: list[tuple[Column, bool]], urls: Column, raw: Column | None = None) -> Column:
     """Struct (band, total, best_tier) of the offline plausibility score.
 
     Rich fields present give up to 25 points, passed signals among those that apply up to 35
-    (all where none applies), hosts up to 30, records without raw parts 7. A failed hard
+    (all where none applies), hosts up to 30, provenance up to 10 (``raw``: whether a record
+    holds raw parts; none do by default). A failed hard
     signal is red whatever the score; green takes 75 points and a source of tier 1 or 2.
     """
     count = lambda flags: sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0))
     asked, passed, failed = count(s.isNotNull() for s, _ in signals), count(s for s, _ in signals), count(~s for s, hard in signals if hard)
     best = best_tier(urls)
-    total = 25.0 * count(rich) / float(len(rich)) + F.when(asked == 0, 35.0).otherwise(35.0 * passed / F.greatest(asked, F.lit(1))) + host_score(urls) + 7.0
+    total = 25.0 * count(rich) / float(len(rich)) + F.when(asked == 0, 35.0).otherwise(35.0 * passed / F.greatest(asked, F.lit(1))) + host_score(urls) + provenance(F.lit(False) if raw is None else raw, best)
     band = F.when(failed > 0, "red").when((total >= 75) & best.isin(1, 2), "green").when(total < 45, "red").otherwise("yellow")
     return F.struct(band.alias("band"), py_round(total).alias("total"), best.alias("best_tier"))
 
@@ -159,13 +170,13 @@ def crossref(records: DataFrame, candidates: DataFrame, key: str = "record_id")
     none of which agrees. A record without a name or candidates is notfound. ``records``
     have key, name and year.
     """
-    c = candidates.select(key, "rank", normalize_heading(F.col("title")).alias("h"), F.col("year").alias("found"))
-    r = records.select(key, normalize_heading(F.col("name")).alias("n"), F.col("year").alias("own"), (F.trim("name") != "").alias("named"))
-    near = (F.col("h") != "") & (F.col("n") != "") & ((F.col("h") == F.col("n")) | ((F.length("h") >= 4) & (F.col("n").endswith(F.col("h")) | F.col("h").endswith(F.col("n")))))
-    of = r.where("named").select(key, "n").join(c, key)
-    best = of.groupBy(key).agg(F.min_by(F.when(near, F.struct(F.col("found"))), F.when(near, F.struct(F.col("found").isNull(), "rank"))).alias("best"), F.count_if(near).alias("agree"), F.lit(True).alias("any"))
-    gap = F.abs(F.col("own") - F.col("best.found"))
-    decision = F.when(F.col("any").isNull(), "notfound").when((F.col("agree") == 0) | gap.isNull(), "ambiguous").when(gap <= 1, "confirm").otherwise("contradict")
+    c = candidates.select(key, F.col("rank").alias("_rank"), normalize_heading(F.col("title")).alias("_h"), F.col("year").alias("_found"))
+    r = records.select(key, normalize_heading(F.col("name")).alias("_n"), F.col("year").alias("_own"), (F.trim("name") != "").alias("_named"))
+    near = (F.col("_h") != "") & (F.col("_n") != "") & ((F.col("_h") == F.col("_n")) | ((F.length("_h") >= 4) & (F.col("_n").endswith(F.col("_h")) | F.col("_h").endswith(F.col("_n")))))
+    of = r.where("_named").select(key, "_n").join(c, key)
+    best = of.groupBy(key).agg(F.min_by(F.when(near, F.struct("_found")), F.when(near, F.struct(F.col("_found").isNull(), "_rank"))).alias("_best"), F.count_if(near).alias("_agree"))
+    gap = F.abs(F.col("_own") - F.col("_best._found"))
+    decision = F.when(F.col("_agree").isNull(), "notfound").when((F.col("_agree") == 0) | gap.isNull(), "ambiguous").when(gap <= 1, "confirm").otherwise("contradict")
     return r.join(best, key, "left").select(key, decision.alias("decision"))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from specloom.plans import catalog, quality, reads, training
+from specloom.plans import catalog, quality, reads, training, verification
 
 QUERIES = {**catalog.QUERIES, **training.QUERIES}
 ORACLE = {**catalog.ORACLE, **training.ORACLE}
 
-assert quality and reads  # their queries are in the tables of the catalog
+assert quality and reads and verification  # their queries are in the tables of the catalog

@@ -51,10 +51,10 @@ def test_sinks(spark, tmp_path):
 def test_verify(spark):
     df = spark.createDataFrame([(["https://en.wikipedia.org/a", "https://x.gsmarena.com/b"],), (["https://www.kaggle.com/x"],), (["https://example.org"],), ([],), (None,)], "u array<string>")
     assert [tuple(r) for r in df.select(verify.best_tier(F.col("u")), verify.host_score(F.col("u"))).collect()] == [(1, 30.0), (3, 6.0), (0, 3.0), (0, 3.0), (0, 3.0)]
-    rec = spark.createDataFrame([(1, "Core X1", 2020), (2, "Core X2", 2020), (3, "Core X3", None), (4, "None", 2020)], "record_id int, name string, year int")
-    cand = spark.createDataFrame([(1, 0, "Core X1", None), (1, 1, "ACME Core X1", 2021), (2, 0, "core-x2", 2015), (3, 0, "Core X3", 2000), (4, 0, "other", 2020)], "record_id int, rank int, title string, year int")
+    rec = spark.createDataFrame([(1, "Core X1", 2020), (2, "Core X2", 2020), (3, "Core X3", None), (4, "None", 2020), (5, "Alone", 2020), (6, " ", 2020)], "record_id int, name string, year int")
+    cand = spark.createDataFrame([(1, 0, "Core X1", None), (1, 1, "ACME Core X1", 2021), (2, 0, "core-x2", 2015), (3, 0, "Core X3", 2000), (4, 0, "other", 2020), (6, 0, "", 2020)], "record_id int, rank int, title string, year int")
     got = {r["record_id"]: r["decision"] for r in verify.crossref(rec, cand).collect()}
-    assert got == {1: "confirm", 2: "contradict", 3: "ambiguous", 4: "notfound"}
+    assert got == {1: "confirm", 2: "contradict", 3: "ambiguous", 4: "ambiguous", 5: "notfound", 6: "notfound"}
     p = spark.createDataFrame([("green", "contradict"), ("red", "confirm"), ("green", None), ("red", None)], "b string, d string").select(verify.promotion(F.col("b"), F.col("d")).alias("p")).collect()
     assert [tuple(r["p"]) for r in p] == [(False, "crossref-contradict"), (True, "crossref-confirm"), (True, "green"), (False, "needs-confirmation")]
     t = spark.sql("select timestamp'2024-01-08 00:00:00' now, timestamp'2024-01-01 00:00:01' a, cast(null as timestamp) b")
