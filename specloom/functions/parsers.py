@@ -147,11 +147,11 @@ def gpu_key(name: Column) -> Column:
 
 
 def soc_slug(c: Column) -> Column:
-    """A chip's slug from free text: no "for ..." tail, brackets, platform words or maker."""
-    s = F.regexp_replace(c, r"(?i)\s+for\s+.*$", "")
-    s = F.regexp_replace(s, r"\s*\([^)]*\)\s*$", "")
-    s = F.regexp_replace(s, r"(?i)\bmobile platform\b", "")
-    return slugify(F.regexp_replace(F.trim(s), r"(?i)^(qualcomm|mediatek|samsung|google|apple|huawei|hisilicon|unisoc)\s+", ""))
+    """A chip's slug from free text: no "for X", brackets at the end, platform words or maker."""
+    s = F.regexp_replace(c, r"(?i)\s+for\s+\w+\b", "")
+    s = F.regexp_replace(s, r"\s+\(.+?\)\s*$", "")
+    s = F.regexp_replace(s, r"(?i)\s+mobile\s+platform\b", "")
+    return slugify(F.regexp_replace(F.trim(s), r"(?i)^(qualcomm|mediatek|samsung|huawei|google|apple) ", ""))
 
 
 def processor_of_system(c: Column) -> Column:

@@ -120,7 +120,7 @@ def x01_slugs(spark, d):
     return b.unionByName(_forms(spark).where("v is not null").select((F.col("i") + 100000).cast("bigint").alias("id"), text.slugify(F.col("v"), ("volt", "apple")).alias("s")))
 
 
-_SOC_TEXT = "regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(v, '\\s+for\\s+.*$', '', 'gi'), '\\s*\\([^)]*\\)\\s*$', '', 'g'), '\\bmobile platform\\b', '', 'gi')), '^(qualcomm|mediatek|samsung|google|apple|huawei|hisilicon|unisoc)\\s+', '', 'i')"
+_SOC_TEXT = "regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(v, '\\s+for\\s+\\w+\\b', '', 'gi'), '\\s+\\(.+?\\)\\s*$', '', 'g'), '\\s+mobile\\s+platform\\b', '', 'gi')), '^(qualcomm|mediatek|samsung|huawei|google|apple) ', '', 'i')"
 
 
 @query(f"SELECT i, {_SLUG.format(x=f'lower(trim({_SOC_TEXT}))')} AS slug FROM {FORMS}")

@@ -3,23 +3,102 @@
 from __future__ import annotations
 
 import io
+import os
+import subprocess
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def json_tree(spark: SparkSession, root: str) -> DataFrame:
+#: Categories that verification reads.
+VERIFIED_CATEGORIES = ("brand", "soc", "smartphone", "tablet", "watch", "pda", "gpu", "cpu")
+
+
+def data_root(environ: dict[str, str] | None = None, beside: str = "catalog", start: str = ".") -> str:
+    """Where documents lie: SPECLOOM_DATA, else ``data`` of a checkout beside this one, else ``data`` within it."""
+    env = os.environ if environ is None else environ
+    if env.get("SPECLOOM_DATA"):
+        return env["SPECLOOM_DATA"]
+    here = os.path.abspath(start)
+    sibling = os.path.join(os.path.dirname(here), beside, "data")
+    return sibling if os.path.isdir(sibling) else os.path.join(here, "data")
+
+
+def _files(root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
+
+def _with_path(df: DataFrame, root: str) -> DataFrame:
+    """``value`` and the file's place below root as ``path``."""
+    base = root.rstrip("/").removeprefix("file://").removeprefix("file:")
+    return df.select(F.substring_index(F.url_decode(F.regexp_replace("_metadata.file_path", "[+]", "%2B")), base + "/", -1).alias("path"), "value")
+
+
+def json_tree(spark: SparkSession, root: str, hidden: bool = True) -> DataFrame:
     """(path, raw, doc): one row per .json file below root, path relative to it, doc a variant.
 
-    A byte order mark is taken off; a broken file has a null doc. Files whose names begin
-    with an underscore are left out, as Spark does.
+    A byte order mark is taken off; a broken file has a null doc, which validation reports.
+    Rows have no order but that of ``path``. Spark's own listing leaves out files whose names
+    begin with an underscore; with ``hidden`` they are listed beside it and read too. A root
+    that is not there has no files.
     """
-    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
+    files, base = _files(root)
+    if files.get_file_info(base).type == fs.FileType.NotFound:
+        return spark.createDataFrame([], "path string, raw string").withColumn("doc", F.try_parse_json("raw"))
+    rows = _with_path(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True), root)
+    if hidden:
+        # Only names of hidden files come to the driver.
+        names = [i.path for i in files.get_file_info(fs.FileSelector(base, recursive=True)) if i.base_name.startswith("_") and i.base_name.endswith(".json")]
+        if names:
+
+            def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                store, top = _files(root)
+                for pdf in batches:
+                    texts = [store.open_input_stream(p).read().decode("utf-8", "replace") for p in pdf["path"]]
+                    yield pd.DataFrame({"path": [p[len(top.rstrip("/")) + 1 :] for p in pdf["path"]], "value": texts})
+
+            rows = rows.unionByName(spark.createDataFrame([(n,) for n in names], "path string").mapInPandas(read, "path string, value string"))
     raw = F.regexp_replace("value", "^﻿", "")
-    return df.select(F.substring_index("_metadata.file_path", root.rstrip("/").removeprefix("file://") + "/", -1).alias("path"), raw.alias("raw"), F.try_parse_json(raw).alias("doc"))
+    return rows.select("path", raw.alias("raw"), F.try_parse_json(raw).alias("doc"))
+
+
+def categories(spark: SparkSession, root: str, names: tuple[str, ...] = VERIFIED_CATEGORIES, hidden: bool = True) -> DataFrame:
+    """(category, path, raw, doc) of some categories, each the tree below its folder; path begins with the category."""
+    out = None
+    for name in names:
+        one = json_tree(spark, f"{root}/{name}", hidden).select(F.lit(name).alias("category"), F.concat(F.lit(f"{name}/"), "path").alias("path"), "raw", "doc")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def candidates(spark: SparkSession, root: str, category: str, manufacturer: str | None = None) -> DataFrame:
+    """(path, raw, doc) to be filled from sources: no hidden files, of one maker's folder where given; only it is listed."""
+    below = f"{category}/{manufacturer}" if manufacturer else category
+    return json_tree(spark, f"{root}/{below}", hidden=False).withColumn("path", F.concat(F.lit(f"{below}/"), "path"))
+
+
+def curated_slugs(spark: SparkSession, root: str, category: str, manufacturer: str | None = None) -> DataFrame:
+    """(slug) of all readable documents of a category or maker; slugs that are no texts do not count."""
+    docs = json_tree(spark, f"{root}/{category}/{manufacturer}" if manufacturer else f"{root}/{category}")
+    kind = F.schema_of_variant(F.try_variant_get("doc", "$.slug", "variant"))
+    return docs.where(kind == "STRING").select(F.try_variant_get("doc", "$.slug", "string").alias("slug")).distinct()
+
+
+def changed_paths(spark: SparkSession, repository: str, base: str = "origin/main", below: str = "data/") -> DataFrame:
+    """(path) of documents that differ from a base commit, relative to the data folder; a repository without the base has none."""
+    run = subprocess.run(["git", "-C", repository, "diff", "--name-only", base, "HEAD", "--", below], capture_output=True, text=True, check=False)
+    names = [line[len(below) :] for line in run.stdout.splitlines() if line.startswith(below) and line.endswith(".json")] if run.returncode == 0 else []
+    return spark.createDataFrame([(n,) for n in names], "path string")
+
+
+def override_map(spark: SparkSession, path: str) -> DataFrame:
+    """(name, id) of a JSON object of names and ids."""
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("name", "id"))
 
 
 def with_typed_dates(df: DataFrame) -> DataFrame:
