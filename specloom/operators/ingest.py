@@ -13,7 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from specloom.functions import parsers
-from specloom.functions.text import slugify
+from specloom.functions.text import fold_ascii, slugify
 from specloom.sources import html
 
 # How makers are written, their names in front of a model, and the words in headers.
@@ -76,10 +76,9 @@ NEEDED = {
 
 def model_slug(name: Column, maker: Column) -> Column:
     """The slug of a model without its maker in front, as each maker is written."""
-    known = [F.when(maker == m, slugify(name, p)) for m, p in PREFIXES.items()]
-    low = F.lower(F.trim(name))
-    other = F.when(low == maker, F.lit("")).when(low.startswith(F.concat(maker, F.lit(" "))), F.substr(low, F.length(maker) + 2)).otherwise(name)
-    return F.coalesce(*known, slugify(other))
+    quoted = F.concat(F.lit(r"\Q"), maker, F.lit(r"\E"))
+    fronts = reduce(lambda acc, x: F.when(maker == x[0], "|".join(p.replace(".", r"\.") for p in x[1])).otherwise(acc), PREFIXES.items(), quoted)
+    return slugify(F.regexp_replace(F.lower(F.trim(fold_ascii(name))), F.concat(F.lit("^(?:"), fronts, F.lit(")(?: |$)")), F.lit("")))
 
 
 def display_name(model: Column, maker: Column, category: str) -> Column:

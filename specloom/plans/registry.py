@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from specloom.plans import catalog, parsing, quality, reads, training, verification
+from specloom.plans import catalog, ingesting, parsing, quality, reads, training, verification
 
 QUERIES = {**catalog.QUERIES, **training.QUERIES}
 ORACLE = {**catalog.ORACLE, **training.ORACLE}
 
-assert parsing and quality and reads and verification  # their queries are in the tables of the catalog
+assert ingesting and parsing and quality and reads and verification  # their queries are in the tables of the catalog
