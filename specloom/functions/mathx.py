@@ -109,8 +109,12 @@ def load_config(path: str, version: str = VERSION) -> dict:
 
 
 def py_round(c: Column, n: int = 1) -> Column:
-    """Round the exact binary value half-even, as correctly rounded printing does."""
-    return F.regexp_replace(F.format_number(c.cast("double"), n), ",", "").cast("double")
+    """Round the exact binary value half-even, as correctly rounded printing does.
+
+    The value stands in the expression once: roundings are nested, and one that named it
+    more often would grow with every level.
+    """
+    return F.call_function("format_number", c.cast("double"), F.lit("0." + "0" * n if n else "0")).cast("double")
 
 
 def capability(c: Column, s: Scale) -> Column:

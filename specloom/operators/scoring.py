@@ -33,9 +33,10 @@ def with_relative(df: DataFrame, index: str, era: str = "era", prefix: str = "")
 
 def soc_scores(socs: DataFrame) -> DataFrame:
     """(id, slug, era, cpu_index, system_index, overall) with percentile, tier and cohort of the cpu and the system index."""
-    single, multi = capability(F.col("geekbench_single"), SOC_SCALES["geekbench_single"]), capability(F.col("geekbench_multi"), SOC_SCALES["geekbench_multi"])
-    scored = socs.select("id", "slug", era_band(F.col("release_date")).alias("era"), combine([(single, 0.4), (multi, 0.6)]).alias("cpu_index"), capability(F.col("antutu_score"), SOC_SCALES["antutu_score"]).alias("system_index"))
-    scored = scored.withColumn("overall", combine([(F.col("cpu_index"), 0.7), (F.col("system_index"), 0.3)]))
+    c = F.col
+    scored = socs.select("id", "slug", era_band(c("release_date")).alias("era"), *[capability(c(n), SOC_SCALES[n]).alias(n) for n in ("geekbench_single", "geekbench_multi", "antutu_score")])
+    scored = scored.select("id", "slug", "era", combine([(c("geekbench_single"), 0.4), (c("geekbench_multi"), 0.6)]).alias("cpu_index"), c("antutu_score").alias("system_index"))
+    scored = scored.withColumn("overall", combine([(c("cpu_index"), 0.7), (c("system_index"), 0.3)]))
     return with_relative(with_relative(scored, "cpu_index", prefix="cpu_"), "system_index", prefix="system_")
 
 
@@ -66,40 +67,47 @@ def cohort_stats(dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def camera_score(cameras: Column) -> Column:
+def camera_score(cameras: Column, main: Column, base: Column) -> Column:
     """Main (else first) camera's pixels, a bonus for stabilisation and for more rear cameras."""
-    first = F.coalesce(F.get(F.filter(cameras, lambda c: c["type"] == "main"), F.lit(0)), F.get(cameras, F.lit(0)))
     rear = F.size(F.filter(cameras, lambda c: F.coalesce(c["type"] != "selfie", F.lit(True))))
-    base = capability(first["mp"], PHONE_SCALES["main_camera_mp"])
-    return F.when(F.size(cameras) > 0, py_round(F.least(F.lit(100.0), base * 0.6 + F.least(rear, F.lit(4)) / 4 * 20 + F.when(first["ois"], 8.0).otherwise(0.0)), 1))
+    return F.when(F.size(cameras) > 0, py_round(F.least(F.lit(100.0), base * 0.6 + F.least(rear, F.lit(4)) / 4 * 20 + F.when(main["ois"], 8.0).otherwise(0.0)), 1))
 
 
-def battery_score(mah: Column, wired: Column, wireless: Column, nm: Column) -> Column:
+def battery_score(mah: Column, wired: Column, wireless: Column, cap: dict[str, Column]) -> Column:
     """Capacity, charging (0 W is none) and process efficiency."""
-    cap = lambda c, n: capability(c, PHONE_SCALES[n])
-    plug = lambda c, n: F.when(c.isNotNull() & (c != 0), F.coalesce(cap(c, n), F.lit(0.0))).otherwise(0.0)
-    total = cap(mah, "battery_mah") * 0.45 + plug(wired, "charging_wired_w") * 0.20 + plug(wireless, "charging_wireless_w") * 0.10 + F.coalesce(cap(nm, "process_nm"), F.lit(50.0)) * 0.25
+    plug = lambda c, n: F.when(c.isNotNull() & (c != 0), F.coalesce(cap[n], F.lit(0.0))).otherwise(0.0)
+    total = cap["battery_mah"] * 0.45 + plug(wired, "charging_wired_w") * 0.20 + plug(wireless, "charging_wireless_w") * 0.10 + F.coalesce(cap["process_nm"], F.lit(50.0)) * 0.25
     return F.when(mah > 0, py_round(total, 1))
 
 
-def display_score(display: Column) -> Column:
-    part = lambda n: F.coalesce(capability(display[n], PHONE_SCALES[n]), F.lit(50.0))
+def display_score(display: Column, cap: dict[str, Column]) -> Column:
+    part = lambda n: F.coalesce(cap[n], F.lit(50.0))
     any_ = display["refresh_hz"].isNotNull() | display["brightness_nits"].isNotNull() | display["ppi"].isNotNull()
     return F.when(any_, py_round(part("refresh_hz") * 0.35 + part("brightness_nits") * 0.35 + part("ppi") * 0.30, 1))
 
 
 def phone_scores(phones: DataFrame, socs: DataFrame) -> DataFrame:
-    """All axes of phones with a chip; phones without one in the catalog give no row."""
+    """All axes of phones with a chip; phones without one in the catalog give no row.
+
+    Capabilities, axes and what is drawn from these are columns of their own, one step after
+    the other, so that no step is worked out more than once.
+    """
     c = F.col
     chip = socs.select(c("id").alias("soc_id"), "geekbench_single", "geekbench_multi", "antutu_score", "process_nm")
-    df = phones.join(chip, "soc_id")
-    cap = lambda n: capability(c(n), PHONE_SCALES[n])
+    main = F.coalesce(F.get(F.filter("cameras", lambda x: x["type"] == "main"), F.lit(0)), F.get("cameras", F.lit(0)))
+    raw = {n: c(n) for n in ("geekbench_single", "geekbench_multi", "antutu_score", "ram_gb", "battery_mah", "charging_wired_w", "charging_wireless_w", "process_nm", "msrp_usd")}
+    raw |= {n: c("display")[n] for n in ("refresh_hz", "brightness_nits", "ppi")} | {"main_camera_mp": c("_main")["mp"]}
+    df = phones.join(chip, "soc_id").withColumns({"era": era_band(c("release_date")), "_main": main})
+    df = df.withColumns({f"_{n}": capability(x, PHONE_SCALES[n]) for n, x in raw.items()})
+    cap = {n: c(f"_{n}") for n in raw}
     gate = c("geekbench_single").isNotNull() | c("geekbench_multi").isNotNull() | c("antutu_score").isNotNull()
-    perf = F.when(gate, combine([(cap("geekbench_single"), 0.25), (cap("geekbench_multi"), 0.30), (cap("antutu_score"), 0.30), (cap("ram_gb"), 0.15)]))
     df = df.select(
-        "id", "slug", "msrp_usd", era_band(c("release_date")).alias("era"), perf.alias("performance"), camera_score(c("cameras")).alias("camera"),
-        battery_score(c("battery_mah"), c("charging_wired_w"), c("charging_wireless_w"), c("process_nm")).alias("battery"), display_score(c("display")).alias("display"),
+        "id", "slug", "msrp_usd", "era", "_msrp_usd",
+        F.when(gate, combine([(cap["geekbench_single"], 0.25), (cap["geekbench_multi"], 0.30), (cap["antutu_score"], 0.30), (cap["ram_gb"], 0.15)])).alias("performance"),
+        camera_score(c("cameras"), c("_main"), cap["main_camera_mp"]).alias("camera"),
+        battery_score(c("battery_mah"), c("charging_wired_w"), c("charging_wireless_w"), cap).alias("battery"),
+        display_score(c("display"), cap).alias("display"),
     )
     df = df.withColumn("overall", combine([(c(n), 1.0) for n in ("performance", "camera", "battery", "display")]))
-    value = F.when((c("msrp_usd") != 0), py_round(c("overall") * 0.5 + cap("msrp_usd") * 0.5, 1))
-    return with_relative(df.withColumn("value", value), "performance").drop("msrp_usd")
+    value = F.when((c("msrp_usd") != 0), py_round(c("overall") * 0.5 + c("_msrp_usd") * 0.5, 1))
+    return with_relative(df.withColumn("value", value).drop("_msrp_usd"), "performance").drop("msrp_usd")
