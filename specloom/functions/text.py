@@ -30,11 +30,6 @@ def fold_ascii(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, src, dst), r"[^\x00-\x7F]", "")
 
 
-def squeeze(c: Column) -> Column:
-    """Outer blanks (no-break spaces included) removed and inner runs made one space."""
-    return F.trim(F.regexp_replace(c, r"[\s ]+", " "))
-
-
 def trim_all(c: Column) -> Column:
     """Outer white space of any kind removed."""
     return F.regexp_replace(c, r"^[\s ]+|[\s ]+$", "")
@@ -45,10 +40,6 @@ def normalize_heading(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
 
 
-def none_if_empty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:
     """A regex group, null where the pattern does not match (Spark gives '')."""
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))

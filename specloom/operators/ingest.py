@@ -165,10 +165,13 @@ def sorted_out(candidates: DataFrame, curated: DataFrame, order: list[str], incl
     keys = ["category", "manufacturer", "slug"]
     fits = F.lit(True) if include_drafts else F.size("missing_fields") == 0
     held = candidates.join(curated.select(*keys).distinct().withColumn("_held", F.lit(True)), keys, "left")
-    first = F.min(F.when(F.col("_held").isNull() & fits, F.struct(*order))).over(Window.partitionBy(*keys))
+    # One row a slug, so a slug that a third of the candidates bear stays spread.
+    new = candidates.where(fits).join(curated.select(*keys).distinct(), keys, "left_anti")
+    firsts = new.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.struct(*order)).alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     at = F.struct(*order)
     outcome = F.when(F.col("_held"), "existing").when(F.col("_first").isNotNull() & (at == F.col("_first")), "written").when(F.col("_first").isNotNull() & (at > F.col("_first")), "duplicate").otherwise("incomplete")
-    return held.withColumn("_first", first).withColumn("outcome", outcome).drop("_held", "_first")
+    return held.join(firsts, same, "left").withColumn("outcome", outcome).drop("_held", "_first", *[f"_{k}" for k in keys])
 
 
 def score_table(pages: DataFrame, reader: Callable, key: Callable[[Column], Column], keep: str = "first") -> DataFrame:

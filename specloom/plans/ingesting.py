@@ -369,3 +369,61 @@ def q15_single_over_multi(spark, d):
 def o08_source_limit(spark, d):
     """A source stops after so many emitted rows, in its order."""
     return records.page(counting_rows(table(spark, d, "cpus"), "id", "updated_at", "slug").select("id"), [F.col("id")], 0, 5)
+
+
+# ---- Small sources, filters and sinks -----------------------------------------------
+
+
+@query("SELECT ingest_id, CASE WHEN regexp_full_match(t, '\\d{4}-\\d{2}-\\d{2}') THEN try_strptime(t, '%Y-%m-%d')::DATE END AS release_date FROM (SELECT ingest_id, json_extract_string(record, '$.release_date') AS t FROM ingest_candidates WHERE json_valid(record))")
+def s02_typed_dates(spark, d):
+    """Texts in columns named *_date become dates, impossible ones null."""
+    i = table(spark, d, "ingest_candidates").where(F.try_parse_json("record").isNotNull())
+    return documents.with_typed_dates(i.select("ingest_id", F.get_json_object("record", "$.release_date").alias("release_date")))
+
+
+@query(f"SELECT id, slug, country FROM {latest('brands')}")
+def s09_json_lines(spark, d):
+    """A log written as JSON lines and read again."""
+    from specloom.operators import ledger
+
+    path = shared_path(spark, "lines")
+    ledger.write_lines(counting_rows(table(spark, d, "brands"), "id", "updated_at", "slug", "country").select("id", "slug", "country"), path)
+    return documents.json_lines(spark, path, "id bigint, slug string, country string").select("id", "slug", "country")
+
+
+@query("SELECT ingest_id, length(slug) >= CASE WHEN category = 'smartphone' THEN 3 ELSE 4 END AND (category = 'smartphone' OR regexp_matches(slug, '[0-9]')) AS fits, len(missing_fields) = 0 AS complete FROM ingest_candidates WHERE slug IS NOT NULL")
+def f04_ingest_filters(spark, d):
+    """slugs that ingest takes, and drafts with nothing missing."""
+    phone = F.col("category") == "smartphone"
+    fits = (F.length("slug") >= F.when(phone, 3).otherwise(4)) & (phone | F.col("slug").rlike("[0-9]"))
+    return table(spark, d, "ingest_candidates").where("slug is not null").select("ingest_id", fits.alias("fits"), (F.size("missing_fields") == 0).alias("complete"))
+
+
+@query(f"SELECT id, strftime(release_date, '%m-%d') = '01-01' AS placeholder FROM {latest('socs')} WHERE release_date IS NOT NULL")
+def f08_placeholder_dates(spark, d):
+    s = counting_rows(table(spark, d, "socs"), "id", "updated_at", "release_date")
+    return s.where("release_date is not null").select("id", (F.date_format("release_date", "MM-dd") == "01-01").alias("placeholder"))
+
+
+FLAGS = """(VALUES (1, '{
+  "slug": "a",
+  "verified": false
+}'), (2, '{
+  "verified": false,
+  "x": 1
+}'), (3, '{
+  "verified": false,
+  "y": {
+    "verified": false
+  },
+  "verified": false
+}'), (4, '{
+  "verified": true
+}'), (5, '{
+  "verified": falsetto
+}'), (6, NULL)) AS t(n, raw)"""
+
+
+@query(f"SELECT n, CASE WHEN len(regexp_extract_all(raw, '(?m)^  \"verified\": false,?\\s*$')) = 1 THEN regexp_replace(raw, '(?m)^  \"verified\": false', '  \"verified\": true') END AS flipped FROM {FLAGS}")
+def k07_flipped(spark, d):
+    return inline(spark, FLAGS).select("n", sinks.flip_verified(F.col("raw")).alias("flipped"))
