@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from specloom.functions.mathx import py_round
-from specloom.functions.text import first_group, fold_ascii, normalize_heading, slugify
+from specloom.functions.text import first_group, normalize_heading, slugify
 
 # Texts that decide a market segment or an operating system. The patterns of the parsers below are fixed too.
 ENTERPRISE_GPU = ("quadro", "tesla", "a100", "h100", "h200", "b100", "b200", "instinct", "mi300", "mi325", "mi350", "data center", "datacenter", "professional", "radeon pro", "rtx 6000", "rtx 5000", "rtx 4500", "rtx 4000")
@@ -233,6 +233,3 @@ def benchmark_field(label: Column) -> Column:
 def page_slug(name: Column) -> Column:
     """A part's name as the address of its page: no brackets, no vendor, blanks as hyphens."""
     return F.regexp_replace(F.trim(F.regexp_replace(F.regexp_replace(name, r"\s*\([^)]*\)", ""), VENDORS, "")), r"\s+", "-")
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Column", "F", "fold_ascii")]

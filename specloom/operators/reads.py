@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -102,6 +103,14 @@ def list_page(rows: DataFrame, resource: str, sort: str | None = None, offset: i
     return rows.orderBy(*order_by(resource, sort)).offset(offset).limit(limit).select("slug", "name", url(resource, "slug").alias("url"))
 
 
+def all_pages(rows: DataFrame, resource: str, limit: int = 100) -> Iterator[list]:
+    """The pages of a list one after the other until none follows, for consumers that take a page at a time."""
+    count, offset = count_of(rows).first()["count"], 0
+    while offset < count:
+        yield list_page(rows, resource, None, offset, limit).collect()
+        offset += limit
+
+
 def lookup(rows: DataFrame, slug: str) -> DataFrame:
     """The row of a slug (of several the lowest id), or none."""
     return rows.where(F.col("slug") == slug).orderBy("id").limit(1)

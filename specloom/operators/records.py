@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specloom.functions.mathx import py_round
+from specloom.session import cut
 
 
 def last_by_key(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -38,15 +39,17 @@ def fill_nulls(df: DataFrame, found: DataFrame, key: str, columns: list[str]) ->
 SKETCH = 10_000
 
 
-def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str, tuple[float, Callable[[Column], Column]]]) -> DataFrame:
+def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str, tuple[float, Callable[[Column], Column]]], written: bool = False) -> DataFrame:
     """(*by, n, names ...): exact values at ranks of each group, without sorting a group in one task.
 
     ``ranks`` maps a name to (its share of the group, its 0-based rank as a column of n). In
     a large group a sketch brackets each rank by two values; what lies below a bracket is
     only counted, what lies in it is counted per value, and of these few the one that covers
-    the rank is picked. Null values do not count; groups without others give no row.
+    the rank is picked. Values are read twice and therefore written once, unless ``df`` is
+    a table (``written``). Null values do not count; groups without others give no row.
     """
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    rows = rows if written else cut(rows, "values")
     slack = 3.0 / SKETCH
     ends = [max(0.0, min(1.0, share + d)) for share, _ in ranks.values() for d in (-slack, slack)]
     sketch = rows.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", ends, SKETCH).alias("_e"))
@@ -60,10 +63,10 @@ def order_statistics(df: DataFrame, by: list[str], value: str, ranks: dict[str,
     return found.groupBy(*by, "n").agg(*[F.max(F.when(F.col("name") == name, F.col("_v"))).alias(name) for name in ranks])
 
 
-def medians(df: DataFrame, by: list[str], value: str, out: str = "median") -> DataFrame:
+def medians(df: DataFrame, by: list[str], value: str, out: str = "median", written: bool = False) -> DataFrame:
     """(*by, n, median): the mean of the two middle values of each group, exactly."""
     half = lambda n, up: F.floor((n - 1 + up) / 2).cast("bigint")
-    found = order_statistics(df, by, value, {"_low": (0.5, lambda n: half(n, 0)), "_high": (0.5, lambda n: half(n, 1))})
+    found = order_statistics(df, by, value, {"_low": (0.5, lambda n: half(n, 0)), "_high": (0.5, lambda n: half(n, 1))}, written)
     return found.select(*by, "n", ((F.col("_low") + F.col("_high")) / 2).alias(out))
 
 
@@ -75,10 +78,10 @@ def rank_bounds(df: DataFrame, by: list[str], value: str, lo: float = 1.0, hi: f
 
 def mad_outliers(df: DataFrame, key: list[str], ratio: Column, by: list[str], k: float = 4.0, least: int = 8) -> DataFrame:
     """Rows whose log ratio lies more than k median deviations off the median of their group, with log ratio and ratio."""
-    rows = df.where(ratio > 0).select(*key, *[c for c in by if c not in key], F.ln(ratio).alias("_r"))
-    mid = medians(rows, by, "_r", "_m").withColumnRenamed("n", "_n")
-    dev = rows.join(mid, by).withColumn("_d", F.abs(F.col("_r") - F.col("_m")))
-    mad = medians(dev, by, "_d", "_mad").drop("n")
+    rows = cut(df.where(ratio > 0).select(*key, *[c for c in by if c not in key], F.ln(ratio).alias("_r")), "ratios")
+    mid = medians(rows, by, "_r", "_m", written=True).withColumnRenamed("n", "_n")
+    dev = cut(rows.join(mid, by).withColumn("_d", F.abs(F.col("_r") - F.col("_m"))), "deviations")
+    mad = medians(dev, by, "_d", "_mad", written=True).drop("n")
     out = dev.join(mad, by).where((F.col("_n") >= least) & (F.col("_d") > k * F.when(F.col("_mad") == 0, 1e-9).otherwise(F.col("_mad"))))
     return out.select(*key, *[c for c in by if c not in key], py_round(F.col("_r"), 4).alias("log_ratio"), py_round(F.exp("_r"), 2).alias("ratio"))
 

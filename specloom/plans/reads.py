@@ -82,6 +82,21 @@ def j07_soc_phones(spark, d):
     return reads.list_page(p.join(F.broadcast(chosen), F.col("soc_id") == F.col("_id"), "left_semi"), "smartphones", limit=100)
 
 
+@query(f"SELECT slug, name, '/v1/brands/' || slug AS url FROM {latest('brands')}")
+def s33_all_pages(spark, d):
+    """A list taken page by page is the whole list (a fixed table of some 150 brands)."""
+    rows = [tuple(r) for page in reads.all_pages(brands(spark, d), "brands", 50) for r in page]
+    return spark.createDataFrame(rows, "slug string, name string, url string")
+
+
+@query("SELECT category, count(*) AS n FROM mobile_devices GROUP BY 1 UNION ALL SELECT 'brand', count(*) FROM brands UNION ALL SELECT 'soc', count(*) FROM socs")
+def a02_category_counts(spark, d):
+    """Rows per category, as they are loaded."""
+    by = table(spark, d, "mobile_devices").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    whole = [reads.count_of(table(spark, d, t)).select(F.lit(c).alias("category"), F.col("count").alias("n")) for c, t in (("brand", "brands"), ("soc", "socs"))]
+    return by.unionByName(whole[0]).unionByName(whole[1])
+
+
 @query(f"SELECT slug, min(id) AS id FROM {latest('brands')} WHERE slug IS NOT NULL GROUP BY 1")
 def j06_slug_to_id(spark, d):
     return brands(spark, d).where("slug is not null").groupBy("slug").agg(F.min("id").alias("id"))

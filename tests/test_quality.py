@@ -5,7 +5,6 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from specloom.functions import mathx
 from specloom.operators import records, scoring, validate
