@@ -115,20 +115,22 @@ def solve(df: DataFrame, units: dict[str, float]) -> DataFrame:
     log = {u: math.log(size) for u, size in units.items()}
     mid = F.coalesce("_centre", own(lambda f: math.log(f.centre)))
     df = df.withColumns({"field_unit": own(lambda f: f.unit), "_own": own(lambda f: f.units[f.unit]), "_d1": F.ln("_n1") - mid, "_d2": F.ln("_n2") - mid, "_lb": (F.when(c("boost") > 0, F.ln("boost") - BOOST_RATIO_LOG - mid) if units is CLOCK else F.lit(None).cast("double"))})
-    # |boost off its centre| and |boost off the value times the factor|, at the boost's best unit.
-    joint = lambda x: F.least(*[F.abs(c("_lb") + y) + F.abs(c("_lb") + y - x) for y in log.values()])
-    near = {}
-    for u, x in log.items():
-        value = F.when(c("_d1").isNull() | (F.abs(c("_d2") + x) < F.abs(c("_d1") + x)), c("_d2") + x).otherwise(c("_d1") + x)
-        near[u] = F.abs(value) + F.coalesce(joint(value), F.lit(0.0))
-    df = df.withColumns({f"_c_{u}": F.when(c("_unit").isNull() | (c("_unit") == u), near[u]) for u in names})
-    df = df.withColumn("_best", F.least(*[c(f"_c_{u}") for u in names]))
-    which = lambda of: reduce(lambda acc, u: acc.when(c(f"_c_{u}") == c("_best"), F.lit(of(u))), names[1:], F.when(c(f"_c_{names[0]}") == c("_best"), F.lit(of(names[0]))))
-    df = df.withColumns({"stated_unit": which(lambda u: u), "_size": which(lambda u: units[u]), "_log": which(lambda u: log[u])})
-    second = F.coalesce(F.abs(c("_d2") + c("_log")) < F.abs(c("_d1") + c("_log")), c("_d1").isNull())
-    rivals = F.least(*[F.when(c("stated_unit") != u, c(f"_c_{u}")) for u in names])
-    unlike = F.abs(F.abs(c("_d1") + c("_log")) - F.abs(c("_d2") + c("_log")))
-    return df.withColumns({"value": F.when(second, c("_n2")).otherwise(c("_n1")) * c("_size") / c("_own"), "unique_solution": F.coalesce(rivals - c("_best") >= MARGIN, F.lit(True)) & F.coalesce(unlike >= MARGIN, F.lit(True))})
+    # The value in each unit (its reading nearer to the centre) and the boost in each, off their centres.
+    df = df.withColumns({f"_v_{u}": F.when(c("_d1").isNull() | (F.abs(c("_d2") + x) < F.abs(c("_d1") + x)), c("_d2") + x).otherwise(c("_d1") + x) for u, x in log.items()})
+    if units is CLOCK:
+        df = df.withColumns({f"_b_{u}": c("_lb") + x for u, x in log.items()})
+        pull = {u: F.coalesce(F.least(*[F.abs(c(f"_b_{w}")) + F.abs(c(f"_b_{w}") - c(f"_v_{u}")) for w in names]), F.lit(0.0)) for u in names}
+    else:
+        pull = dict.fromkeys(names, F.lit(0.0))
+    # Residuals in order, the unit's number settles ties; a unit that cannot be is infinitely far.
+    cost = [F.coalesce(F.when(c("_unit").isNull() | (c("_unit") == u), F.abs(c(f"_v_{u}")) + pull[u]), F.lit(float("inf"))) for u in names]
+    df = df.withColumn("_s", F.sort_array(F.array(*[F.struct(x.alias("cost"), F.lit(i).alias("i")) for i, x in enumerate(cost)])))
+    best, rival = c("_s")[0], c("_s")[1]
+    pick = lambda values: F.when(best["cost"] < float("inf"), F.get(F.array(*[F.lit(v) for v in values]), best["i"]))
+    df = df.withColumns({"stated_unit": pick(names), "_size": pick(units.values()), "_log": pick(log.values()), "_apart": rival["cost"] - best["cost"] >= MARGIN})
+    first, second = F.abs(c("_d1") + c("_log")), F.abs(c("_d2") + c("_log"))
+    number = F.when(F.coalesce(second < first, c("_d1").isNull()), c("_n2")).otherwise(c("_n1"))
+    return df.withColumns({"value": number * c("_size") / c("_own"), "unique_solution": F.coalesce("_apart", F.lit(True)) & F.coalesce(F.abs(first - second) >= MARGIN, F.lit(True))})
 
 
 def centres(parsed: DataFrame) -> DataFrame:
