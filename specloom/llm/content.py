@@ -268,7 +268,8 @@ def training_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_LABEL
     """(doc_id, skeletons, share of harmful opinions) of labelled documents, and skeletons of others.
 
     At most ``most`` documents of either label and as many without one, drawn by the hash of
-    their id, none with more than MAX_PASSAGES. Null opinions do not count.
+    their id, none with more than MAX_PASSAGES; of several texts of one id one is taken.
+    Null opinions do not count.
     """
     voted = labels.where("label is not null").groupBy("doc_id").agg(F.avg(F.col("label").cast("double")).alias("share"))
     some = docs.where(F.size("skeletons").between(1, MAX_PASSAGES)).select("doc_id", F.array_distinct("skeletons").alias("skeletons"))
@@ -277,10 +278,12 @@ def training_documents(docs: DataFrame, labels: DataFrame, most: int = MAX_LABEL
         return F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
     chosen = drawn(voted.where("share >= 0.5")).unionByName(drawn(voted.where("share < 0.5")))
-    rows = some.join(F.broadcast(chosen), "doc_id").collect()
+    # One text an id: an id that many rows repeat comes to the driver once.
+    once = F.min("skeletons").alias("skeletons")
+    rows = some.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "share").agg(once).collect()
     known = {r["doc_id"] for r in rows}
     # The draw carries ids only; the labelled among them, a few, are left out here.
-    more = some.join(drawn(some.where("doc_id is not null").select("doc_id").distinct()), "doc_id").collect()
+    more = some.join(drawn(some.where("doc_id is not null").select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(once).collect()
     skels = lambda r: frozenset(s for s in r["skeletons"] if s)
     order = lambda r: (r["doc_id"], r["skeletons"])
     return [(r["doc_id"], skels(r), r["share"]) for r in sorted(rows, key=order) if skels(r)], [skels(r) for r in sorted(more, key=order) if r["doc_id"] not in known and skels(r)]

@@ -419,3 +419,15 @@ def test_the_training_sample_is_bounded():
     labelled = [(i, frozenset({f"l{i}", "x"}), float(i % 3 == 0)) for i in range(30)]
     kept, more = content.bounded(labelled, [frozenset({f"u{i}"}) for i in range(30)], 16)
     assert [i for i, _, y in kept if y] == list(range(0, 30, 3)) and len(set().union(*[s for _, s, _ in kept], *more)) <= 16 and kept and more
+
+
+def test_an_id_in_many_rows_is_one_example(spark):
+    """A labelled id that most rows repeat neither floods the sample nor changes what it says."""
+    docs = [(i, f"You are a fool number {i % 3}." if i < 9 else f"The fan is fine on day {i}.", "a") for i in range(40)] + [(0, "You are a fool number 0.", "b")] * 300
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, int(i < 9)) for i in range(0, 40, 2)], "doc_id bigint, label int")
+    table = content.passage_table(d)
+    labelled, others = content.training_documents(table, labels)
+    assert len(labelled) == 20 and len(others) == 20
+    out = content.score_corpus(d, labels)
+    assert out.count() == len(docs) and {r["doc_id"] for r in out.where("harmful").collect()} == set(range(9))
