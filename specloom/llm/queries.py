@@ -17,6 +17,22 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_matches(spark, d).select("point_id", "candidate_id")
 
 
+def _matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return entity_match.match(entity_match.point_attributes(table(spark, d, "coverage_points")), entity_match.candidate_attributes(table(spark, d, "crossref_candidates")))
+
+
+def p1_class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Matches between classes of equal attributes, which stand for all pairs of their members."""
+    return _matched(spark, d)[0]
+
+
+def p1_members(spark: SparkSession, d: str) -> DataFrame:
+    """(side, id, class_id) of every row with a class."""
+    _, left, right = _matched(spark, d)
+    side = lambda df, name, c: df.select(F.lit(name).alias("side"), "id", F.col(c).alias("class_id"))
+    return side(left, "point", "a_class_id").unionByName(side(right, "candidate", "b_class_id"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     rows = incremental_dedup.link_batches(table(spark, d, "ingest_candidates"))
     return rows.where("first_id < ingest_id").select(F.col("first_id").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
@@ -58,6 +74,6 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return content.rates(p9_scores(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p2_found, p7_ids, p7_source_tokens, p7_round_trip, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p1_class_pairs, p1_members, p2_found, p7_ids, p7_source_tokens, p7_round_trip, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
 
 ORACLE: dict[str, str] = {}

@@ -431,3 +431,14 @@ def test_an_id_in_many_rows_is_one_example(spark):
     assert len(labelled) == 20 and len(others) == 20
     out = content.score_corpus(d, labels)
     assert out.count() == len(docs) and {r["doc_id"] for r in out.where("harmful").collect()} == set(range(9))
+
+
+def test_class_pairs_and_members_give_the_matches(spark):
+    from specloom.llm import queries
+
+    pairs, members = queries.p1_class_pairs(spark, SF), queries.p1_members(spark, SF)
+    of = lambda side, c, i: members.where(f"side = '{side}'").select(F.col("class_id").alias(c), F.col("id").alias(i))
+    joined = pairs.join(of("point", "a_class_id", "point_id"), "a_class_id").join(of("candidate", "b_class_id", "candidate_id"), "b_class_id").select("point_id", "candidate_id")
+    found = queries.p1_found(spark, SF)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, found.select("point_id", "candidate_id").collect()))
+    assert pairs.count() < found.count() * 2 and members.count() <= 2850
